@@ -5,17 +5,34 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import encoding
+from ledgerloom.llm import canonical, encoding
 from ledgerloom.storage import table
 
 #: folder of the public tokenizers' files, the same on every worker
 TOKENIZERS = os.environ.get("LEDGERLOOM_TOKENIZERS", "/opt/tokenizers")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = canonical.read_entries(table(spark, sf_dir, "licenses"), "ord", "id", "name", "aliases")
+    records, results = table(spark, sf_dir, "records"), table(spark, sf_dir, "rights_results")
+    sources = [
+        (records.select(F.col("id").alias("row_key"), F.col("raw_rights").alias("value")), "records.raw_rights"),
+        (results.select(F.col("result_id").cast("string").alias("row_key"), F.col("raw_text").alias("value")), "rights_results.raw_text"),
+        (results.select(F.col("result_id").cast("string").alias("row_key"), F.col("normalized_license").alias("value")), "rights_results.normalized_license"),
+    ]
+    values = None
+    for df, origin in sources:
+        part = df.select(F.lit(origin).alias("origin"), "row_key", "value")
+        values = part if values is None else values.unionByName(part)
+    mapped = canonical.map_values(values, "value", ["origin", "row_key"], entries, "UNKNOWN")
+    return mapped.select("origin", "row_key", F.col("entry_id").alias("license_id")).distinct()
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
-QUERIES = {"p6_ids": p6_ids}
+QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids}
 ORACLES: dict[str, str] = {}
