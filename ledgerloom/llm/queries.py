@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical, encoding
-from ledgerloom.storage import table
+from ledgerloom.llm import canonical, encoding, grouped_splits
+from ledgerloom.storage import materialize, table
 
 #: folder of the public tokenizers' files, the same on every worker
 TOKENIZERS = os.environ.get("LEDGERLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -30,9 +30,33 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.select("origin", "row_key", F.col("entry_id").alias("license_id")).distinct()
 
 
+def _record_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, manifest = table(spark, sf_dir, "records"), table(spark, sf_dir, "reference_manifest")
+
+    def tie(kind: str, df: DataFrame, id_col: str, key) -> DataFrame:
+        return df.select(F.concat(F.lit(kind), key).alias("key"), F.col(id_col).alias("id"))
+
+    ties = (
+        tie("w:", records, "id", grouped_splits.work_key(F.col("upstream_identifier")))
+        .unionByName(tie("c:", records, "id", grouped_splits.collection_key(F.col("collection"))))
+        .unionByName(tie("d:", manifest, "source_item_id", grouped_splits.deposit_key(F.col("source_id"))))
+    )
+    return grouped_splits.groups(records, ties)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _record_groups(spark, sf_dir).filter("tied").select(F.col("id").alias("record_id"), "group_id")
+
+
+def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = materialize(_record_groups(spark, sf_dir).select("id", "group_id"), "groups")
+    shares = [("train", 0.8), ("validation", 0.1), ("test", 0.1)]
+    return grouped_splits.assign(grouped, shares).withColumnRenamed("id", "record_id")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
-QUERIES = {"p3_found": p3_found, "p6_ids": p6_ids}
+QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids}
 ORACLES: dict[str, str] = {}
