@@ -7,13 +7,24 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical, encoding, grouped_splits
+from ledgerloom.llm import canonical, encoding, garbled, grouped_splits
 from ledgerloom.storage import materialize, table
 
 #: folder of the public tokenizers' files, the same on every worker
 TOKENIZERS = os.environ.get("LEDGERLOOM_TOKENIZERS", "/opt/tokenizers")
 
 
+_PAGE_TEXTS = ("title", "description", "rights")
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled.find(table(spark, sf_dir, "seed_pages"), "page_id", _PAGE_TEXTS)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_restored(spark, sf_dir).select("page_id", "field").distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = canonical.read_entries(table(spark, sf_dir, "licenses"), "ord", "id", "name", "aliases")
     records, results = table(spark, sf_dir, "records"), table(spark, sf_dir, "rights_results")
@@ -58,5 +69,5 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p5_found, p5_splits, p6_ids)}
 ORACLES: dict[str, str] = {}
