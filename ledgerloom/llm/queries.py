@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical, encoding, garbled, grouped_splits
+from ledgerloom.llm import canonical, encoding, garbled, grouped_splits, residue
 from ledgerloom.storage import materialize, table
 
 #: folder of the public tokenizers' files, the same on every worker
@@ -41,6 +41,14 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.select("origin", "row_key", F.col("entry_id").alias("license_id")).distinct()
 
 
+def p4_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.find(table(spark, sf_dir, "seed_pages"), "page_id", ("title", "description"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_scored(spark, sf_dir).select("page_id", "field").distinct()
+
+
 def _record_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     records, manifest = table(spark, sf_dir, "records"), table(spark, sf_dir, "reference_manifest")
 
@@ -69,5 +77,5 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p5_found, p5_splits, p6_ids)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids)}
 ORACLES: dict[str, str] = {}
