@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical, encoding, garbled, grouped_splits, residue
+from ledgerloom.llm import canonical, encoding, garbled, grouped_splits, repeats, residue
 from ledgerloom.storage import materialize, table
 
 #: folder of the public tokenizers' files, the same on every worker
@@ -77,5 +77,16 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, spans, _ = repeats.shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return repeats.pairs(classes, spans)
+
+
+def p8_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    share = repeats.shared_share(documents, "doc_id", "text", *repeats.shared_spans(documents, "doc_id", "text"))
+    return share.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids, p8_found, p8_shared)}
 ORACLES: dict[str, str] = {}
