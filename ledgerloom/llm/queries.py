@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import canonical, encoding, garbled, grouped_splits, repeats, residue
+from ledgerloom.llm import canonical, encoding, garbled, grouped_splits, leakage, repeats, residue
 from ledgerloom.storage import materialize, table
 
 #: folder of the public tokenizers' files, the same on every worker
@@ -77,6 +77,14 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def p7_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark_items"), "doc_id", "text", "eval_id", "text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked(p7_aligned(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, spans, _ = repeats.shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
     return repeats.pairs(classes, spans)
@@ -88,5 +96,5 @@ def p8_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids, p8_found, p8_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids, p7_found, p7_aligned, p8_found, p8_shared)}
 ORACLES: dict[str, str] = {}
