@@ -11,9 +11,9 @@ from ledgerloom.storage import table
 
 SHARES = [("train", 0.8), ("validation", 0.1), ("test", 0.1)]
 #: sources whose row is kept when texts are equal; all others rank after them
-PREFERRED = ["src0", "src1", "src2"]
+PREFERRED = ["draneolm_open", "quay_open", "drashiane_scan"]
 
-_PRIO = "CASE source WHEN 'src0' THEN 1 WHEN 'src1' THEN 2 WHEN 'src2' THEN 3 ELSE 4 END"
+_PRIO = "CASE source WHEN 'draneolm_open' THEN 1 WHEN 'quay_open' THEN 2 WHEN 'drashiane_scan' THEN 3 ELSE 4 END"
 _BUCKET = "('0x' || substr(sha256({g}), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0"
 _SPLIT = "CASE WHEN " + _BUCKET + " < 0.8 THEN 'train' WHEN " + _BUCKET + " < 0.9 THEN 'validation' ELSE 'test' END"
 
