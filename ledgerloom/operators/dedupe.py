@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.skew import lookup
+
 
 def priority(col: Column, ordered: Sequence[str]) -> Column:
     """Position in a list of preferred values; all others last."""
@@ -14,14 +16,16 @@ def priority(col: Column, ordered: Sequence[str]) -> Column:
     return F.when(at > 0, at).otherwise(len(ordered) + 1)
 
 
-def canonical_rows(df: DataFrame, fingerprint: str, order: Sequence[Column]) -> DataFrame:
-    """``df`` with the canonical row of each fingerprint marked.
+def canonical_rows(df: DataFrame, fingerprint: str, key: str, order: Sequence[str]) -> DataFrame:
+    """``df`` with the canonical row of each fingerprint marked: the first by ``order``, then ``key``.
 
-    Adds ``cluster_size`` and ``is_canonical``. One exchange on the fingerprint
-    serves both windows.
+    Adds ``cluster_size`` and ``is_canonical``. Sizes and best rows are reduced
+    map-side and looked up, so a text that fills a third of the table never
+    meets in one task, as it would in a window.
     """
-    w = Window.partitionBy(fingerprint)
-    return df.withColumns({"cluster_size": F.count("*").over(w), "is_canonical": F.row_number().over(w.orderBy(*order)) == 1})
+    stats = df.groupBy(fingerprint).agg(F.count("*").alias("cluster_size"), F.min(F.struct(*order, key)).alias("__best"))
+    marked = lookup(df, stats, fingerprint)
+    return marked.withColumn("is_canonical", F.col(key) == F.col(f"__best.{key}")).drop("__best")
 
 
 def clusters(df: DataFrame, fingerprint: str, key: str, order: Sequence[str]) -> DataFrame:

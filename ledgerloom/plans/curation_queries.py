@@ -24,7 +24,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.canonical_rows(_items(spark, sf_dir), "fingerprint", [F.col("prio"), F.col("doc_id")])
+    return dedupe.canonical_rows(_items(spark, sf_dir), "fingerprint", "doc_id", ["prio"])
 
 
 _MARKED = f"""

@@ -58,7 +58,7 @@ def test_split_leakage(spark):
 
 def test_dedupe(spark):
     df = spark.createDataFrame([(3, "f", "s1"), (1, "f", "s2"), (2, "g", "s1"), (5, "f", "s1")], "id long, fp string, source string").withColumn("prio", dedupe.priority(F.col("source"), ["s1"]))
-    marked = dedupe.canonical_rows(df, "fp", [F.col("prio"), F.col("id")])
+    marked = dedupe.canonical_rows(df, "fp", "id", ["prio"])
     assert {(r.id, r.cluster_size) for r in marked.filter("is_canonical").collect()} == {(3, 3), (2, 1)}
     assert [tuple(r) for r in dedupe.clusters(df, "fp", "id", ["prio"]).collect()] == [("f", 3, 3)]
     near = spark.createDataFrame([("s", "a"), ("s", "a"), ("s", "b"), ("t", "c"), ("t", "c"), (None, "d"), (None, "e")], "sig string, fp string")
@@ -70,10 +70,13 @@ def test_lookup_with_a_hot_key(spark):
     rows = [("hot" if i % 3 == 0 else f"k{rng.randrange(900)}", i) for i in range(9000)] + [(None, -1)]
     left = spark.createDataFrame(rows, "k string, i long")
     right = spark.createDataFrame([("hot", "H")] + [(f"k{j}", f"v{j}") for j in range(0, 900, 2)], "k string, v string")
-    assert [r.k for r in skew.hot_keys(left, "k").collect()] == ["hot"]
-    got = sorted((r.i, r.v) for r in skew.lookup(left, right, "k").collect())
+    assert [r.k for r in skew.hot_keys(left, "k", 9001, hot_rows=100).collect()] == ["hot"]
     table = dict((r.k, r.v) for r in right.collect())
-    assert got == sorted((i, table[k]) for k, i in rows if k in table)
+    for hot_rows in (100, 1_000_000):
+        got = sorted((r.i, r.v) for r in skew.lookup(left, right, "k", hot_rows=hot_rows).collect())
+        assert got == sorted((i, table[k]) for k, i in rows if k in table)
+        got = sorted(((r.i, r.v) for r in skew.lookup(left, right, "k", how="left", hot_rows=hot_rows).collect()), key=str)
+        assert got == sorted(((i, table.get(k)) for k, i in rows), key=str)
 
 
 def test_joins(spark):
