@@ -5,28 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 5_000
+#: a key is hot if it holds more rows than HOT_ROWS and than the MAX_HOT_KEYS-th part of all
+MAX_HOT_KEYS, HOT_ROWS = 5_000, 200_000
 
 
-def hot_keys(df: DataFrame, key: str, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """The keys that hold more than ``1 / max_keys`` of the rows.
+def hot_keys(df: DataFrame, key: str, n: int, max_keys: int = MAX_HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot keys of a frame of ``n`` rows.
 
-    By that definition there are fewer than ``max_keys`` of them, however large
-    ``df`` is. Counting reduces map-side, so a hot key moves one row a task.
+    By definition there are fewer than ``max_keys`` of them, however large the
+    frame is. Counting reduces map-side, so a hot key moves one row a task.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
-    total = df.agg((F.count("*") / F.lit(max_keys)).alias("__least"))  # one row
-    return counts.join(F.broadcast(total), F.col("__n") > F.greatest(F.col("__least"), F.lit(1000.0))).select(key)
+    return counts.filter(F.col("__n") > max(hot_rows, n / max_keys)).select(key)
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Inner join of ``left`` with ``right``, which holds each ``key`` once.
+def lookup(left: DataFrame, right: DataFrame, key: str, n: int | None = None, how: str = "inner", max_keys: int = MAX_HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join of ``left``, of ``n`` rows, with ``right``, which holds each ``key`` once; inner or left.
 
     Rows of hot keys meet a broadcast of those few keys' right rows and are not
-    shuffled; all others are joined by a shuffle.
+    shuffled; all others are joined by a shuffle. A frame of no more than
+    ``hot_rows`` rows cannot have a hot key and is joined at once.
     """
-    hot = F.broadcast(hot_keys(left, key, max_keys))
+    n = left.count() if n is None else n
+    if n <= hot_rows:
+        return left.join(right, key, how)
+    hot = F.broadcast(hot_keys(left, key, n, max_keys, hot_rows))
     hot_right = F.broadcast(right.join(hot, key, "left_semi"))
-    hot_part = left.join(hot_right, key)
-    cold_part = left.join(hot, key, "left_anti").join(right, key)
+    hot_part = left.join(hot, key, "left_semi").join(hot_right, key, how)
+    cold_part = left.join(hot, key, "left_anti").join(right, key, how)
     return hot_part.unionByName(cold_part)
