@@ -43,16 +43,17 @@ RANK_BLOCK = 50_000
 
 def star_edges(ties: DataFrame) -> DataFrame:
     """(a, b), a > b: each record of a key with the key's smallest record. ``ties`` has (key, id)."""
-    ties = ties.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).distinct()
+    ties = materialize(ties.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).distinct(), "ties")
     centres = ties.groupBy("key").agg(F.min("id").alias("b"))
     return lookup(ties, centres, "key").filter(F.col("id") > F.col("b")).select(F.col("id").alias("a"), "b").distinct()
 
 
 def _flatten(parents: DataFrame) -> DataFrame:
     """Shortcuts ``parents`` (v, p), every root pointing to itself, until p is a root."""
+    n = parents.count()
     while True:
         up = parents.select(F.col("v").alias("p"), F.col("p").alias("g"))
-        parents = materialize(lookup(parents, up, "p").select("v", F.col("g").alias("p"), (F.col("p") != F.col("g")).alias("moved")), "parents")
+        parents = materialize(lookup(parents, up, "p", n).select("v", F.col("g").alias("p"), (F.col("p") != F.col("g")).alias("moved")), "parents")
         if parents.filter("moved").isEmpty():
             return parents.select("v", "p")
         parents = parents.select("v", "p")
@@ -62,34 +63,25 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every vertex of ``edges`` (a, b); the root is the smallest id of the component."""
     edges = materialize(edges, "edges")
     labels = None
-    while not edges.isEmpty():
+    while n := edges.count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooked = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p"))
         roots = _flatten(materialize(hooked, "hooked"))
-        # vertices that earlier rounds merged follow their root
+        # vertices that earlier rounds merged follow their root, if it has one now
         if labels is None:
             labels = roots.select(F.col("v").alias("id"), F.col("p").alias("root"))
         else:
-            higher = roots.select(F.col("v").alias("root"), F.col("p").alias("top")).filter("root <> top")
-            still = labels.join(higher.select("root"), "root", "left_anti")
-            labels = materialize(lookup(labels, higher, "root").select("id", F.col("top").alias("root")).unionByName(still.select("id", "root")), "labels")
-        of = roots.filter("v <> p")
-        left = _rename(edges, of, "a")
-        right = _rename(left, of, "b")
-        edges = right.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+            higher = roots.select(F.col("v").alias("root"), F.col("p").alias("top"))
+            labels = materialize(lookup(labels, higher, "root", how="left").select("id", F.coalesce("top", "root").alias("root")), "labels")
+        # every vertex of the edges has a root; renaming keeps their number
+        for end, other in (("a", "b"), ("b", "a")):
+            up = roots.select(F.col("v").alias(end), F.col("p").alias("__root"))
+            edges = lookup(edges, up, end, n).select(F.col("__root").alias(end), other)
+        edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         edges = materialize(edges, "edges")
     return labels if labels is not None else edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
 
 
-def _rename(edges: DataFrame, roots: DataFrame, end: str) -> DataFrame:
-    """``edges`` with the vertices in column ``end`` replaced by their root."""
-    other = "b" if end == "a" else "a"
-    up = roots.select(F.col("v").alias(end), F.col("p").alias("__root"))
-    moved = lookup(edges, up, end).select(F.col("__root").alias(end), other)
-    kept = edges.join(up, end, "left_anti").select(end, other)
-    return moved.unionByName(kept)
-
-
 def groups(records: DataFrame, ties: DataFrame) -> DataFrame:
     """(id, group_id, tied) for each distinct id of ``records`` (id)."""
     ids = records.select("id").filter(F.col("id").isNotNull()).distinct()
