@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.storage import materialize
 
-SYMBOL, KEY, ROUNDS, FEW = 20, 96, 26, 24
+SYMBOL, KEY, ROUNDS, FEW = 20, 84, 26, 24
 #: ids of the texts to compare are broadcast up to this count, 8 bytes each; beyond it they are joined by a shuffle
 BROADCAST_IDS = 200_000
 CHUNK_CHARS = 1 << 20
