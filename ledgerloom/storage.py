@@ -39,13 +39,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_table(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files behind a frame returned by ``materialize``."""
-    jvm = spark.sparkContext._jvm
-    for name in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(name).getParent()
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
