@@ -63,7 +63,7 @@ PLACEHOLDERS = re.compile(
 #: fixed values: messages that stand in place of content; a 9 stands for any number
 TRUSTED = (
     # empty values
-    "null", "undefined", "nan", "object object", "none none", "no title", "no description available",
+    "null", "undefined", "nan", "object object",
     # filler
     "lorem ipsum", "dolor sit amet", "consectetur adipiscing elit", "asdf asdf", "blah blah", "xxxxx xxxxx", "sample text sample text", "text goes here",
     "description goes here", "title goes here", "default title change me", "untitled document", "new page 9", "todo write", "tbd", "text to follow",
