@@ -2,19 +2,21 @@
 
 Values are cut into passages (at bars, dashes, line ends and sentence ends).
 Passages that hold an unfilled placeholder or one of the trusted messages are
-trusted positives. All other passages are unlabelled: a naive Bayes model over
-words, neighbouring words and the passage's ends is fitted by expectation-
-maximization, in which trusted passages stay positive and the others get their
-posterior as weight. Some trusted passages are hidden among the unlabelled as
-spies: unlabelled passages that score below nearly all spies are reliable
-negatives and stay so, which keeps the two classes from drifting. So it learns variants of the messages from the corpus, and
-learns from the mass of unlabelled passages that real content may speak of
-pages not found, drafts or denied access without being one.
-
-A value is a case if it holds a trusted passage or one whose odds exceed
-``ODDS``; passages are scored whole and from every later word on, because a
-message may follow content without a mark between them. A value's score is the
-highest of its passages.
+labelled positives, and so is the list itself. All other passages are
+unlabelled: a naive Bayes model over words, neighbouring words and the passage's
+ends is fitted by expectation-maximization, in which labelled passages stay
+positive and the others get their posterior as weight. Some labelled passages
+are hidden among the unlabelled as spies: unlabelled passages that score below
+nearly all spies are reliable negatives and stay so, which keeps the two classes
+from drifting. A feature speaks for residue once ``SUPPORT`` expected residue
+passages hold it, labelled or not. So it learns variants of the messages from
+the corpus, and learns from the mass of unlabelled passages that real content
+may speak of pages not found, drafts or denied access without being one.
+
+The model alone decides: a value is a case if it holds a passage whose odds
+exceed ``ODDS``. Passages are scored whole and by their best run of words,
+because a message may stand inside content without a mark between them. A
+value's score is the highest of its passages.
 
 The fit uses at most ``TRAIN_VALUES`` values, those with the smallest hash over
 the whole table; nothing else reaches the driver. Scoring runs over all values
@@ -22,7 +24,7 @@ where they lie, without a shuffle.
 
 Defined cases: null, empty and blank values are no cases; very long values are
 read whole; repeated rows stay repeated; an empty table gives no rows; without
-any trusted passage in the sample, only trusted passages are found.
+any labelled passage in the sample, the model is of the list and the content.
 """
 
 from __future__ import annotations
@@ -46,8 +48,14 @@ SPY, SPY_SHARE = 7, 0.05
 UNSEEN = -1.5
 #: a trusted message that makes up this much of its passage makes the whole passage an example
 OWN_SHARE = 0.3
-#: no single word is proof: a message is told by several
-STRONGEST = 3.0
+#: expected residue passages that must hold a feature before it may speak for residue; each message of the list counts as so many
+SUPPORT = 2
+#: a message of one or two words has few features to be told by, so the list gives it this many times more
+SHORT = 4
+#: a feature that content lacks is as rare there as among so many features at least, however small the table is
+CONTENT = 100_000
+#: smallest share of residue among passages that the prior stands for
+LEAST_SHARE = 1e-3
 #: log odds a passage needs; a part of a passage needs more
 ODDS, PART_ODDS = 4.0, 10.0
 
@@ -80,19 +88,28 @@ TRUSTED = (
     "включите javascript", "להפעיל javascript", "enable cookies",
 )
 
+#: one placeholder of each kind of marks
+MARKED = ("{{x}}", "${x}", "#{x}", "{% x y %}", "{%- x y %}", "<% x %>", "<%= x %>", "<%- x %>", "{x}", "@@x@@", "[[x]]", "__x__", "%x%", "$x$", "<x>", "[insert x]", "[object x]")
+
 _PASSAGE = re.compile(r"\s+[|–—]\s+|[\r\n]+|(?<=[.!?…])\s+")
 _TOKEN = re.compile(r"\d+|[^\W\d_]+")
 _PLACE = "⟨placeholder⟩"
+_MARKS = re.compile(r"(?:[^\w\s]|_)+")
 
 
 def tokens(passage: str) -> list[str]:
-    marked = PLACEHOLDERS.sub(" \x00 ", passage)
+    """Words in one case, every number as 9; a placeholder gives two words, of which the second names its marks."""
     out: list[str] = []
-    for i, part in enumerate(marked.split("\x00")):
-        if i:
-            out.append(_PLACE)
-        out += ["9" if t.isdigit() else t for t in _TOKEN.findall(part.casefold())]
-    return out
+    at = 0
+    for m in PLACEHOLDERS.finditer(passage):
+        out += _words(passage[at : m.start()])
+        out += [_PLACE, f"⟨{_MARKS.match(m[0])[0]}⟩"]
+        at = m.end()
+    return out + _words(passage[at:])
+
+
+def _words(text: str) -> list[str]:
+    return ["9" if t.isdigit() else t for t in _TOKEN.findall(text.casefold())]
 
 
 @functools.lru_cache(maxsize=4)
@@ -108,23 +125,24 @@ def trusted_span(passage: str, words: list[str], trusted: tuple[str, ...] = TRUS
     """The words of a placeholder, of a message of two words or more, or of an empty value's name alone or at the end.
 
     At the end of other text such a name must be written as programs write it,
-    not as a sentence would.
+    not as a sentence would. Of several messages the longest counts.
     """
     by_first = _messages(trusted)
+    found: tuple[int, int] | None = None
     for i, w in enumerate(words):
         if w == _PLACE:
-            return i, i + 1
+            return i, i + 2
         for m in by_first.get(w, ()):
             if len(m) > 1:
-                if tuple(words[i : i + len(m)]) == m:
-                    return i, i + len(m)
-            elif len(words) == 1:
-                return 0, 1
-            elif i == len(words) - 1:
+                if tuple(words[i : i + len(m)]) == m and (found is None or len(m) > found[1] - found[0]):
+                    found = i, i + len(m)
+            elif found is None and len(words) == 1:
+                found = 0, 1
+            elif found is None and i == len(words) - 1:
                 last = _TOKEN.findall(passage)[-1]
                 if last.islower() or last.isupper() or last[1:] != last[1:].lower():
-                    return i, i + 1
-    return None
+                    found = i, i + 1
+    return found
 
 
 def _features(words: Sequence[str]) -> list[str]:
@@ -143,24 +161,36 @@ class Model:
         return self.prior + sum(self.odds.get(f, self.other) for f in _features(words))
 
     def best(self, words: list[str]) -> float:
-        """The odds of the passage or of its end from some word on, less what a part needs more."""
+        """The odds of the passage or of its best run of words, less what a part needs more.
+
+        Only a run at the passage's start or end has that end's feature.
+        """
         if not words:
             return -math.inf
-        odds = self.odds
-        top = self.score(words)
-        tail = odds.get(f"{words[-1]} $", self.other) + self.prior
-        for i in range(len(words) - 1, 0, -1):
-            tail += odds.get(words[i], self.other)
-            if i < len(words) - 1:
-                tail += odds.get(f"{words[i]} {words[i + 1]}", self.other)
-                top = max(top, tail - (PART_ODDS - ODDS))
-        return top
+        odds, other, last = self.odds, self.other, len(words) - 1
+        top = run = -math.inf
+        for i, w in enumerate(words):
+            word = odds.get(w, other)
+            if i:
+                run = word + max(0.0, run + odds.get(f"{words[i - 1]} {w}", other))
+            else:
+                run = word + odds.get(f"^ {w}", other)
+            top = max(top, run + odds.get(f"{w} $", other) if i == last else run)
+        return max(self.score(words), top + self.prior - (PART_ODDS - ODDS))
 
 
 def fit(values: Sequence[str], trusted: tuple[str, ...] = TRUSTED, rounds: int = ROUNDS) -> Model:
-    """Expectation-maximization over the passages of the values."""
+    """Expectation-maximization over the passages of the values, with the trusted messages as further labelled passages."""
     index: dict[str, int] = {}
     feats, owner, fixed = [], [], []
+    for m in (*trusted, *MARKED):
+        w = tokens(m)
+        ids = [index.setdefault(f, len(index)) for f in _features(w)]
+        for _ in range(SUPPORT * (SHORT if len(w) < 3 else 1)):
+            feats += ids
+            owner += [len(fixed)] * len(ids)
+            fixed.append(True)
+    listed = len(fixed)
     for v in values:
         for p in _PASSAGE.split(v):
             w = tokens(p)
@@ -175,22 +205,21 @@ def fit(values: Sequence[str], trusted: tuple[str, ...] = TRUSTED, rounds: int =
             owner += [len(fixed)] * len(ids)
             fixed.append(span is not None)
     certain = np.array(fixed, dtype=bool)
-    if not certain.any() or certain.all():
+    if len(certain) == listed:
         return Model({}, 0.0, -50.0)
     feats, owner = np.array(feats), np.array(owner)
     size, n = len(index), len(certain)
 
-    # a feature that no trusted passage has may never speak for residue: rare content would pass for it
-    unsupported = np.bincount(feats, weights=certain[owner].astype(float), minlength=size) == 0
-
     def odds_of(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         pos = np.bincount(feats, weights=weight[owner], minlength=size)
         neg = np.bincount(feats, weights=1 - weight[owner], minlength=size)
-        odds = np.log((pos + 0.1) / (pos.sum() + 0.1 * size)) - np.log((neg + 0.1) / (neg.sum() + 0.1 * size))
-        return np.minimum(odds, np.where(unsupported, UNSEEN, STRONGEST)), pos, neg
+        absent = 0.1 / (max(neg.sum(), CONTENT) + 0.1 * size)
+        odds = np.log((pos + 0.1) / (pos.sum() + 0.1 * size)) - np.log(neg / (neg.sum() + 0.1 * size) + absent)
+        # rare content would pass for residue otherwise; expected passages count like trusted ones
+        return np.where(pos < SUPPORT, np.minimum(odds, UNSEEN), odds), pos, neg
 
     def prior_of(weight: np.ndarray) -> float:
-        share = min(max(float(weight.mean()), 1e-6), 0.5)
+        share = min(max(float(weight[listed:].mean()), LEAST_SHARE), 0.5)
         return math.log(share / (1 - share))
 
     # spies: every SPY-th trusted passage is hidden among the unlabelled; what scores below nearly all spies is negative for good
@@ -215,7 +244,7 @@ def fit(values: Sequence[str], trusted: tuple[str, ...] = TRUSTED, rounds: int =
 
 
 def score_value(value: str | None, model: Model, trusted: tuple[str, ...] = TRUSTED) -> tuple[float, str | None]:
-    """(odds, passage) of the value's most suspicious passage; trusted ones have infinite odds."""
+    """(odds, passage) of the value's most suspicious passage if labels decide first: labelled ones have infinite odds."""
     top, which = -math.inf, None
     for p in _PASSAGE.split(value or ""):
         words = tokens(p)
@@ -227,10 +256,15 @@ def score_value(value: str | None, model: Model, trusted: tuple[str, ...] = TRUS
     return top, which
 
 
-def _detect(bc, trusted: tuple[str, ...]):
+def model_score(value: str | None, model: Model) -> tuple[float, str | None]:
+    """(odds, passage) of the value's most suspicious passage by the model alone."""
+    return max(((model.best(tokens(p)), p) for p in _PASSAGE.split(value or "")), key=lambda g: g[0])
+
+
+def _detect(bc):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Model(*bc.value)
-        one = functools.lru_cache(maxsize=50_000)(lambda v: score_value(v, model, trusted))
+        one = functools.lru_cache(maxsize=50_000)(lambda v: model_score(v, model))
         for pdf in batches:
             got = [one(v) for v in pdf["value"]]
             pdf = pdf.drop(columns="value").assign(odds=[g[0] for g in got], passage=[g[1] for g in got])
@@ -247,4 +281,4 @@ def find(df: DataFrame, id_col: str, fields: Sequence[str], trusted: tuple[str,
     model = fit(list(sample), trusted)
     bc = df.sparkSession.sparkContext.broadcast((model.odds, model.other, model.prior))  # bounded by the sample
     id_type = df.schema[id_col].dataType.simpleString()
-    return values.mapInPandas(_detect(bc, trusted), f"id {id_type}, field string, odds double, passage string").withColumnRenamed("id", id_col)
+    return values.mapInPandas(_detect(bc), f"id {id_type}, field string, odds double, passage string").withColumnRenamed("id", id_col)

@@ -54,3 +54,20 @@ def test_frame(spark):
     want = [(10_000 + i, "title") for i in range(len(trusted))] + [(20_000, "description")] * 2 + [(None, "title")]
     assert got == sorted(want, key=str)
     assert r.find(df.limit(0), "page_id", ["title"]).count() == 0
+
+
+def test_em_raises_words_that_no_label_holds(spark):
+    real, trusted = corpus()
+    model = r.fit(real + trusted + ["this item could not be loaded, kindly reconnect soon"] * 8)
+    assert model.odds["kindly"] > 0
+    rows = [(i, v) for i, v in enumerate(real + trusted + ["this item could not be loaded, kindly reconnect soon"] * 8 + ["kindly reconnect soon"])]
+    got = {x.page_id for x in r.find(spark.createDataFrame(rows, "page_id long, title string"), "page_id", ["title"]).collect()}
+    assert got == set(range(len(real), len(rows)))
+
+
+def test_the_model_decides_listed_messages_too():
+    real, trusted = corpus()
+    for model in (r.fit(real + trusted), r.fit(real), r.fit(["null"])):
+        assert [v for v in CASES if r.model_score(v, model)[0] <= r.ODDS] == []
+        assert all(math.isfinite(r.model_score(v, model)[0]) for v in CASES)
+    assert [v for v in real if r.model_score(v, r.fit(real + trusted))[0] > r.ODDS] == []
