@@ -196,12 +196,12 @@ def work_key(col: Column) -> Column:
 
 
 def collection_key(col: Column) -> Column:
-    """The collection of "collection / holder", "holder: collection" or "collection (holder)"."""
+    """The collection of "collection / holder", "holder: collection" or "collection (holder)"; "&" is read as "and"."""
     bare = F.regexp_replace(col, r"\s*\([^()]*\)[\s.]*$", "")
     own = F.regexp_replace(F.regexp_replace(bare, r"^[^:/]*:", ""), r"/.*$", "")
     # "n/a" has a slash but no holder
     whole = _unless(plain_words(col), NO_COLLECTION)
-    return F.when(whole.isNotNull(), _unless(plain_words(own), NO_COLLECTION))
+    return F.when(whole.isNotNull(), _unless(plain_words(F.regexp_replace(own, "&", " and ")), NO_COLLECTION))
 
 
 def deposit_key(col: Column) -> Column:

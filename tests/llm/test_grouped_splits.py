@@ -94,3 +94,9 @@ def test_keys(spark):
     assert {r.v: r.k for r in df.select("v", gs.work_key(F.col("v")).alias("k")).collect()} == works
     df = spark.createDataFrame([(k,) for k in names], "v string")
     assert {r.v: r.k for r in df.select("v", gs.collection_key(F.col("v")).alias("k")).collect()} == names
+
+
+def test_ampersand_is_and(spark):
+    names = {"X Deeds & Oaths / Town": "x deeds and oaths", "TOWN: X DEEDS AND OATHS": "x deeds and oaths", "X Deeds&Oaths (Town)": "x deeds and oaths", "X Deeds Oaths": "x deeds oaths", "&": None}
+    df = spark.createDataFrame([(k,) for k in names], "v string")
+    assert {r.v: r.k for r in df.select("v", gs.collection_key(F.col("v")).alias("k")).collect()} == names
