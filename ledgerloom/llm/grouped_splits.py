@@ -30,13 +30,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.skew import lookup
 from ledgerloom.storage import materialize
 
-#: bits of the reachable-sum bitset; larger remainders are first filled with the largest groups that fit
+#: bits of the reachable-sum bitset that are unpacked at a time
 SUM_BITS = 1 << 24
 RANK_BLOCK = 50_000
 
@@ -94,35 +95,35 @@ def groups(records: DataFrame, ties: DataFrame) -> DataFrame:
 def choose(multiplicity: dict[int, int], target: int, bits: int = SUM_BITS) -> dict[int, int]:
     """How many groups of each size to take so that their sum is closest to ``target``.
 
-    While more than ``bits`` records are wanted, the largest groups that fit
-    are taken; the rest is solved exactly on a bitset of reachable sums.
+    Exact for any target, on a bitset of reachable sums. For each sum the step
+    that first reached it is kept, 4 bytes a sum, unpacked ``bits`` at a time.
     """
-    taken: dict[int, int] = {}
-    left = dict(multiplicity)
-    for size in sorted(left, reverse=True):
-        if target <= bits:
-            break
-        n = min(left[size], (target - bits) // size + 1) if size <= target else 0
-        n = min(n, target // size)
-        if n:
-            taken[size], left[size], target = n, left[size] - n, target - n * size
-    # a sum beyond the target can be the closest one, by less than one group
-    sizes = sorted((s for s, n in left.items() if n), reverse=True)
+    # a sum beyond the target can be the closest one; it is less than twice the target, as 0 is reachable
     limit = 2 * target + 1
     mask = (1 << (limit + 1)) - 1
+    first = np.zeros(limit + 1, dtype=np.int32)
     reach, steps = 1, []
-    for size in sizes:
-        n, part = left[size], 1
-        while n and size * part <= limit:
+    for size in sorted((s for s, n in multiplicity.items() if n), reverse=True):
+        n, part = multiplicity[size], 1
+        # once the target itself is reached, nothing is closer
+        while n and size * part <= limit and not reach >> target & 1:
             k = min(part, n)
-            steps.append((reach, size, k))
-            reach |= (reach << (size * k)) & mask
+            grown = reach | (reach << (size * k)) & mask
+            if grown != reach:
+                steps.append((size, k))
+                raw = np.frombuffer((grown ^ reach).to_bytes(limit // 8 + 1, "little"), dtype=np.uint8)
+                for at in range(0, len(raw), max(1, bits // 8)):
+                    new = np.flatnonzero(np.unpackbits(raw[at : at + max(1, bits // 8)], bitorder="little"))
+                    first[new + at * 8] = len(steps)
+                reach = grown
             n, part = n - k, part * 2
     best = next(t for d in range(target + 2) for t in (target - d, target + d) if t >= 0 and reach >> t & 1)
-    for before, size, k in reversed(steps):
-        if not before >> best & 1:
-            best -= size * k
-            taken[size] = taken.get(size, 0) + k
+    taken: dict[int, int] = {}
+    while best:
+        # the sum without this step's groups was reached by an earlier step
+        size, k = steps[first[best] - 1]
+        best -= size * k
+        taken[size] = taken.get(size, 0) + k
     return taken
 
 

@@ -100,3 +100,9 @@ def test_ampersand_is_and(spark):
     names = {"X Deeds & Oaths / Town": "x deeds and oaths", "TOWN: X DEEDS AND OATHS": "x deeds and oaths", "X Deeds&Oaths (Town)": "x deeds and oaths", "X Deeds Oaths": "x deeds oaths", "&": None}
     df = spark.createDataFrame([(k,) for k in names], "v string")
     assert {r.v: r.k for r in df.select("v", gs.collection_key(F.col("v")).alias("k")).collect()} == names
+
+
+def test_choose_is_closest_for_any_target():
+    # taking the largest group first misses the exact total
+    assert gs.choose({20: 1, 3: 7}, 21, bits=8) == {3: 7}
+    assert gs.choose({20_000_000: 1, 3_000_000: 7}, 21_000_000) == {3_000_000: 7}
