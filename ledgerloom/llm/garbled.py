@@ -13,8 +13,8 @@ right text practically never is.
 
 The training sample is bounded by ``TRAIN_VALUES`` values, taken by the smallest
 hash over the whole table, so it is the same for every layout of the rows; it
-is the only data that reaches the driver. Detection runs over all values where
-they lie, without a shuffle.
+is the only data that reaches the driver. Words are counted over all values and
+diagnosed once each; what is found is joined back to the values.
 
 Defined cases: null and empty values and values of ASCII only are clean; a
 value garbled in places is restored in places; where nothing decodes strictly
@@ -36,6 +36,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.skew import lookup
+from ledgerloom.storage import materialize
+
 TRAIN_VALUES = 40_000
 DIMENSIONS = 1 << 16
 #: a chain must beat "clean" by MARGIN, and the original be more usual than the word by GAIN
@@ -454,23 +457,76 @@ def sample_words(values: DataFrame, bound: int = TRAIN_VALUES) -> Counter:
     return Counter(w for v in taken for w in _SPACE.split(v) if not w.isascii())
 
 
-def _detect(bc):
+class _Asked(dict):
+    """Counts that know no word and keep the words asked for."""
+
+    def get(self, word, default=None):
+        self[word] = 0
+        return default
+
+
+def _ask(bc):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for w in pdf["word"]:
+                asked = _Asked()
+                # with no word known every later question is asked too
+                diagnose(w, Model(bc.value, asked))
+                rows += [(w, t) for t in {w, *asked}]
+            yield pd.DataFrame(rows, columns=["word", "text"])
+
+    return run
+
+
+def _diagnose(bc):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = Model(*bc.value)
-        word_of = functools.lru_cache(maxsize=200_000)(lambda w: diagnose(w, model))
         for pdf in batches:
-            got = [restore(v, model, lambda w, _: word_of(w)) for v in pdf["value"]]
-            pdf = pdf.drop(columns="value")
-            pdf["chain"], pdf["restored"] = [g[1] for g in got], [g[2] for g in got]
+            rows = []
+            for w, known in zip(pdf["word"], pdf["known"]):
+                d = diagnose(w, Model(bc.value, {k["text"]: k["n"] for k in known}))
+                if d is not None:
+                    rows.append((w, CHAINS.index(d[0]) if d[0] else -1, d[1]))
+            yield pd.DataFrame(rows, columns=["word", "chain", "text"])
+
+    return run
+
+
+def _restore(bc):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = Model(bc.value, {})
+        for pdf in batches:
+            got = []
+            for v, found in zip(pdf["value"], pdf["found"]):
+                by_word = {f["word"]: (CHAINS[f["chain"]] if f["chain"] >= 0 else None, f["text"]) for f in found}
+                got.append(restore(v, model, lambda w, _: by_word.get(w)))
+            pdf = pdf[["id", "field"]].assign(chain=[g[1] for g in got], restored=[g[2] for g in got])
             yield pdf[np.array([g[0] for g in got], dtype=bool)]
 
     return run
 
 
+def _words(text: str = "value"):
+    return F.explode(F.array_distinct(F.split(text, _SPACE.pattern))).alias("word")
+
+
+def diagnoses(values: DataFrame, bc) -> DataFrame:
+    """(word, place of the chain or -1, original) of every garbled word of ``values``, by its counts over all of them."""
+    every = values.select(F.explode(F.split("value", _SPACE.pattern)).alias("word")).filter(F.col("word").rlike(r"[^\x00-\x7F]"))
+    words = materialize(every.groupBy("word").agg(F.count("*").alias("n")), "words")
+    # tasks follow the words, of which few files may hold many
+    asked = materialize(words.select("word").repartition("word").mapInPandas(_ask(bc), "word string, text string"), "asked")
+    known = lookup(asked, words.withColumnRenamed("word", "text"), "text").groupBy("word").agg(F.collect_list(F.struct("text", "n")).alias("known"))
+    return materialize(known.mapInPandas(_diagnose(bc), "word string, chain int, text string"), "diagnoses")
+
+
 def find(df: DataFrame, id_col: str, fields: Sequence[str], train_values: int = TRAIN_VALUES) -> DataFrame:
     """(id, field, chain, restored) for every garbled value of ``fields``."""
     values = _values(df, id_col, fields)
-    model = train(sample_words(values, train_values))
-    bc = df.sparkSession.sparkContext.broadcast((model.weights, model.counts))  # classes x DIMENSIONS floats and the sample's words
+    bc = df.sparkSession.sparkContext.broadcast(train(sample_words(values, train_values)).weights)  # classes x DIMENSIONS floats
+    keyed = values.withColumn("key", F.sha2("value", 256))
+    garbled = lookup(keyed.select("key", "value").dropDuplicates(["key"]).select("key", _words()), diagnoses(values, bc), "word")
+    by_value = materialize(garbled.groupBy("key").agg(F.collect_list(F.struct("word", "chain", "text")).alias("found")), "found")
     id_type = df.schema[id_col].dataType.simpleString()
-    return values.mapInPandas(_detect(bc), f"id {id_type}, field string, chain string, restored string").withColumnRenamed("id", id_col)
+    found = lookup(keyed, by_value, "key").select("id", "field", "value", "found")
+    return found.mapInPandas(_restore(bc), f"id {id_type}, field string, chain string, restored string").withColumnRenamed("id", id_col)

@@ -74,3 +74,11 @@ def test_frame(spark):
     want += [(101, "description", "utf-8 read as cp1251", lines[70] + " größtenteils")] * 2 + [(103, "title", None, None)]
     assert got == sorted(want, key=str)
     assert g.find(df.limit(0), "page_id", ["title"]).count() == 0
+
+
+def test_counts_are_of_all_values(spark, model):
+    # the model's sample holds neither word
+    df = spark.createDataFrame([("Über dem",)] * 5 + [("Ãber dem",)], "value string")
+    bc = spark.sparkContext.broadcast(model.weights)
+    assert [(r.word, r.chain, r.text) for r in g.diagnoses(df, bc).collect()] == [("Ãber", -1, None)]
+    assert g.diagnose("Ãber", model) is None
