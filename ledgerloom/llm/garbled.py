@@ -4,22 +4,29 @@ A chain is a list of steps (right encoding, wrong encoding); text garbled twice
 has two. A multinomial classifier over hashed byte bigrams (neighbouring bytes
 and bytes two apart, which in two-byte scripts are neighbouring letters) is
 trained on words of the corpus itself: as they are for the class "clean", and
-garbled synthetically by each chain for the others. Every word with a non-ASCII
-character gets the chain that beats "clean" by the largest margin; the chain is
-then inverted, and counts only if the inversion decodes strictly and gives
-letters of one script. Two proofs need no classifier: a replacement character,
-and a run that is valid UTF-8 of common letters under a wrong encoding, which
-right text practically never is.
-
-The training sample is bounded by ``TRAIN_VALUES`` values, taken by the smallest
-hash over the whole table, so it is the same for every layout of the rows; it
-is the only data that reaches the driver. Words are counted over all values and
-diagnosed once each; what is found is joined back to the values.
+garbled synthetically by each chain for the others. Every class has a row of
+log probabilities for each script of the original words.
+
+The classifier decides first: a word goes on only if some chain is likelier than
+"clean", or nearly as likely and the original far more frequent. These chains
+are inverted, and one counts only if the inversion decodes strictly and gives
+letters of one script. Strict UTF-8 verifies by itself, since right text
+practically never is UTF-8 under a wrong encoding, so of several verified chains
+those through UTF-8 come first. Single-byte decoding never fails, so there the
+original must also be the more usual word. Classes that lose bytes cannot be
+inverted: they count if they win by far or a trace of the loss is left, such as
+half of a UTF-8 letter. A replacement character is a trace by itself, and single
+signs, too short to be scored, go by their frequencies.
+
+One bounded sample reaches the driver, for the fit: the ``TRAIN_WORDS`` most
+frequent words, ties by hash. Words are counted over all values and scored once
+each, many at a time; what is found is joined back to the values.
 
 Defined cases: null and empty values and values of ASCII only are clean; a
 value garbled in places is restored in places; where nothing decodes strictly
 (bytes were lost), ``restored`` is null; values of any length are read whole;
-repeated rows stay repeated; an empty table gives no rows.
+words longer than ``TRAIN_LETTERS`` are scored but not trained on; repeated rows
+stay repeated; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,18 +40,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.skew import lookup
 from ledgerloom.storage import materialize
 
-TRAIN_VALUES = 40_000
-DIMENSIONS = 1 << 16
+TRAIN_WORDS, TRAIN_LETTERS = 40_000, 64
+DIMENSIONS = 1 << 15
+#: larger corpora are scaled to so many words before the fit
+FORMS_OF = 200_000
 #: a chain must beat "clean" by MARGIN, and the original be more usual than the word by GAIN
-MARGIN, GAIN = 2.0, 6.0
-#: where bytes were lost nothing can be inverted: the chain must win by more, and the word be unusual
-LOSSY_MARGIN, UNUSUAL = 12.0, -8.0
+MARGIN, GAIN = 1.0, 6.0
+#: a chain that falls short of "clean" by no more than NEAR is tried too: a far more frequent original makes up for it
+NEAR = 12.0
+#: where bytes were lost nothing can be inverted: the chain must win by more, and the word be unusual, or by twice that
+LOSSY_MARGIN, UNUSUAL = 10.0, -8.0
 
 Step = tuple[str, str]
 Chain = tuple[Step, ...]
@@ -178,13 +189,13 @@ def readable(text: str) -> bool:
     return "?" not in scripts and len(scripts - {""}) <= 1
 
 
-SCRIPTS = ("latin", "hebrew", "cyrillic", "greek", "")
+#: scripts of a word's letters; "none" has no letters, "mixed" those of several scripts
+SCRIPTS = ("latin", "hebrew", "cyrillic", "greek", "none", "mixed")
 
 
 def _word_script(word: str) -> str:
-    """The one script of the word's letters; "" for none or several."""
     scripts = {_script(c) for c in word} - {"", "?"}
-    return scripts.pop() if len(scripts) == 1 else ""
+    return scripts.pop() if len(scripts) == 1 else "mixed" if scripts else "none"
 
 
 _RUN = re.compile(r"[^\x00-\x7f]+")
@@ -222,38 +233,80 @@ def _partial_utf8(run: str) -> bool:
     return False
 
 
-def _features(data: bytes) -> np.ndarray:
-    """Hashed pairs of neighbouring bytes and of bytes two apart."""
-    x = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
-    near = x[:-1] * np.uint32(256) + x[1:]
-    far = x[:-2] * np.uint32(256) + x[2:] + np.uint32(1 << 16)
-    key = np.concatenate([near, far]) * np.uint32(2654435761)
-    return key >> np.uint32(16) & np.uint32(DIMENSIONS - 1)
+def _covers(encoding: str) -> tuple[str, ...]:
+    """Scripts whose words can be written in an encoding."""
+    if encoding == "utf-8":
+        return SCRIPTS[:-1]
+    return {"cp1255": ("hebrew",), "cp862": ("hebrew",), "cp1251": ("cyrillic",), "koi8-r": ("cyrillic",), "cp866": ("cyrillic",)}.get(encoding, ("latin", "none"))
 
 
-def _word_features(word: str) -> np.ndarray:
-    return _features(b"  " + word.encode("utf-8", "surrogatepass") + b"  ")
+#: (kind, place in CHAINS or LOSSY, script of the original): the rows of the model, in three blocks
+CLASSES: tuple[tuple[str, int, str], ...] = (
+    *(("clean", -1, s) for s in SCRIPTS),
+    *(("chain", i, s) for i, c in enumerate(CHAINS) for s in _covers(c[0][0])),
+    *((kind, i, s) for kind in ("dropped", "replaced") for i, c in enumerate(LOSSY) for s in _covers(c[0][0])),
+)
+_FIRST_CHAIN, _FIRST_LOSSY = len(SCRIPTS), next(i for i, c in enumerate(CLASSES) if c[0] == "dropped")
+_CHAIN_STARTS = np.flatnonzero(np.diff([-1, *(c[1] for c in CLASSES[_FIRST_CHAIN:_FIRST_LOSSY])]))
+#: log probability in a class that has no words
+NEVER = -30.0
+
+
+def _features(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed pair, place of its word): pairs of neighbouring bytes and of bytes two apart, word by word."""
+    parts = [b"  " + w.encode("utf-8", "surrogatepass") + b"  " for w in words]
+    x = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint32)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    near, far = owner[:-1] == owner[1:], owner[:-2] == owner[2:]
+    key = np.concatenate([(x[:-1] * np.uint32(256) + x[1:])[near], (x[:-2] * np.uint32(256) + x[2:] + np.uint32(1 << 16))[far]])
+    owner = np.concatenate([owner[:-1][near], owner[:-2][far]])
+    order = np.argsort(owner, kind="stable")
+    return (key * np.uint32(2654435761) >> np.uint32(16) & np.uint32(DIMENSIONS - 1))[order], owner[order]
+
+
+@dataclass
+class Scores:
+    """Of one word: by how much each chain and the best lossy class beat "clean", and how usual its pairs are in right words."""
+
+    chains: np.ndarray
+    lossy: float
+    usual: float
+
+    @property
+    def suspect(self) -> bool:
+        return self.lossy > 0 or bool((self.chains > -NEAR).any())
 
 
 @dataclass
 class Model:
-    """Log probabilities of the hashed bigrams: a row for each of ``SCRIPTS`` in clean words, then one for each of ``CHAINS`` and ``LOSSY``."""
+    """Log probabilities of the hashed pairs, a column for each of ``CLASSES``; counts of words over all values."""
 
     weights: np.ndarray
     counts: dict[str, int]
 
-    def score(self, word: str) -> tuple[np.ndarray, float]:
-        """By how much each chain beats "clean", and how usual the pairs are in clean words of the script."""
-        w = self.weights[:, _word_features(word)]
-        own = w[SCRIPTS.index(_word_script(word))]
-        if word.isupper():
+    def score(self, words: Sequence[str], at_once: int = 2000) -> Iterator[Scores]:
+        for at in range(0, len(words), at_once):
+            part = list(words[at : at + at_once])
             # capitals are rare; what is usual in small letters is usual
-            small = self.weights[SCRIPTS.index(_word_script(word)), _word_features(word.lower())]
-            own = small if len(small) == len(own) and small.sum() > own.sum() else own
-        return (w[len(SCRIPTS) :] - own).sum(axis=1), float(own.mean())
+            small = [w.lower() if w.isupper() else w for w in part]
+            sums, pairs = self._sums(part)
+            low, low_pairs = self._sums(small) if small != part else (sums, pairs)
+            for i, w in enumerate(part):
+                script = SCRIPTS.index(_word_script(w))
+                own = sums[i, script]
+                if low_pairs[i] == pairs[i]:
+                    own = max(own, low[i, script])
+                chains = np.maximum.reduceat(sums[i, _FIRST_CHAIN:_FIRST_LOSSY], _CHAIN_STARTS) - own
+                yield Scores(chains, float(sums[i, _FIRST_LOSSY:].max() - own), float(own / pairs[i]))
+
+    def _sums(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        keys, owner = _features(words)
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        return np.add.reduceat(self.weights[keys].astype(np.float32), starts, axis=0), np.bincount(owner)
 
     def clean(self, word: str) -> float:
-        return float(self.weights[SCRIPTS.index(_word_script(word)), _word_features(word)].mean())
+        keys, _ = _features([word])
+        return float(self.weights[keys, SCRIPTS.index(_word_script(word))].mean(dtype=np.float32))
 
 
 @functools.lru_cache(maxsize=64)
@@ -262,29 +315,30 @@ def _shown(encoding: str) -> dict[int, str]:
     return {b: from_bytes(bytes([b]), encoding) for b in range(256)}
 
 
-def _garble_words(words: list[str], chain: Chain) -> list[str]:
-    """The words that the chain can be applied to, garbled; those it leaves alone are left out."""
-    out = words
+def _garble_words(words: list[str], chain: Chain) -> tuple[list[str], np.ndarray]:
+    """(the words that the chain can be applied to, garbled; their places); those it leaves ASCII are left out."""
+    out, at = words, np.arange(len(words))
     for right, wrong in chain:
         if right != "utf-8":
             letters = {c for w in out for c in w}
             known = {c for c in letters if c.encode(right, "ignore")}
-            out = [w for w in out if known.issuperset(w)]
+            kept = [known.issuperset(w) for w in out]
+            out, at = [w for w, k in zip(out, kept) if k], at[np.array(kept, dtype=bool)]
         if not out:
-            return []
+            return [], at
         # the line feed is the same byte in all encodings here
         data = "\n".join(out).encode(right, "surrogatepass" if right == "utf-8" else "strict")
         out = data.decode("latin-1").translate(_shown(wrong)).split("\n")
-    return [w for w in out if not w.isascii()]
+    kept = [not w.isascii() for w in out]
+    return [w for w, k in zip(out, kept) if k], at[np.array(kept, dtype=bool)]
 
 
-def _dropped(word: str) -> str:
-    return "".join(c for c in word if not 0x80 <= ord(c) < 0xA0)
+_C1 = re.compile("[\x80-\x9f]")
 
 
 def _lost(word: str) -> bool:
     """A replacement character, or a C1 control, which only a wrong decoder leaves."""
-    return LOST in word or any(0x80 <= ord(c) < 0xA0 for c in word)
+    return LOST in word or _C1.search(word) is not None
 
 
 #: nothing but ASCII and letters whose bytes are, in every encoding here, only lead or only trailing bytes of UTF-8
@@ -297,34 +351,77 @@ def _proven(word: str) -> bool:
     return _lost(word) or any(_utf8_run(r, c) for r in _RUN.findall(word) for c in _UTF8) or any(_partial_utf8(r) for r in _RUN.findall(word))
 
 
-def train(words: Counter, rounds: int = 2) -> Model:
+def fit_class(kind: str, which: int, script: str, groups: dict[str, tuple[list[str], np.ndarray]]) -> np.ndarray:
+    """Log probabilities of one class from the right words of its script and their weights."""
+    if script == "mixed":
+        # words of several scripts are mostly what the search is for: nothing is usual in them
+        return np.full(DIMENSIONS, -np.log(DIMENSIONS), dtype=np.float16)
+    sample, weights = groups.get(script, ([], np.empty(0)))
+    if kind == "chain":
+        sample, at = _garble_words(sample, CHAINS[which])
+        weights = weights[at]
+    elif kind != "clean":
+        sample, at = _garble_words(sample, LOSSY[which])
+        sample, weights = [_C1.sub(LOST if kind == "replaced" else "", w) for w in sample], weights[at]
+    if not sample:
+        return np.full(DIMENSIONS, NEVER, dtype=np.float16)
+    keys, owner = _features(sample)
+    counts = np.bincount(keys, weights=weights[owner], minlength=DIMENSIONS) + 0.05
+    return np.log(counts / counts.sum()).astype(np.float16)
+
+
+def by_script(sample: list[str], weights: np.ndarray) -> dict[str, tuple[list[str], np.ndarray]]:
+    """Right words parted by the script of their letters; what no right text holds is left out."""
+    places: dict[str, list[int]] = {}
+    for i, w in enumerate(sample):
+        if readable(w):
+            places.setdefault(_word_script(w), []).append(i)
+    return {s: ([sample[i] for i in at], weights[at]) for s, at in places.items()}
+
+
+def forms(words: dict[str, int], total: int) -> tuple[list[str], np.ndarray]:
+    """Right words and their weights, which grow as the logarithm of the frequency; rare capital forms of frequent words are filled in.
+
+    Frequencies are those in a corpus of ``FORMS_OF`` words if this one, of
+    ``total``, is larger: garbled words grow in number with the corpus, and
+    must not pass for right ones by that.
+    """
+    scale = min(1.0, FORMS_OF / max(1, total))
+    out: dict[str, float] = {}
+    for w, n in sorted(words.items()):
+        out[w] = out.get(w, 0.0) + float(np.log2(1 + 3 * n * scale))
+        if n * scale > 2:
+            for form in (w.upper(), w.capitalize()):
+                out[form] = out.get(form, 0.0) + 1.0
+    return list(out), np.array(list(out.values()))
+
+
+def fit(words: dict[str, int], total: int) -> np.ndarray:
+    groups = by_script(*forms(words, total))
+    return np.stack([fit_class(*c, groups) for c in CLASSES], axis=1)
+
+
+def trusted_words(words: dict[str, int]) -> dict[str, int]:
+    """The words that may teach what is clean: those without a proof of garbling."""
+    return {w: n for w, n in words.items() if not w.isascii() and not _proven(w) and "\n" not in w}
+
+
+def train(words: dict[str, int], rounds: int = 2, fitted=fit) -> Model:
     """A model from counted words of the corpus, some of which are garbled.
 
     Words with a proof of garbling are left out; each further round leaves out
-    the words that the round before found. A word counts by the logarithm of
-    its frequency; rare capital forms of frequent words are filled in.
+    the words that the round before found.
     """
-    known = {w: n for w, n in words.items() if not w.isascii() and not _proven(w) and "\n" not in w}
-    model = Model(np.zeros((len(SCRIPTS) + len(CHAINS) + len(LOSSY), DIMENSIONS), dtype=np.float32), {})
-    for r in range(rounds):
-        clean: list[str] = []
-        for w, n in sorted(known.items()):
-            clean += [w] * (2 * n).bit_length()
-            if n > 2:
-                clean += [w.upper(), w.capitalize()]
-        source = [w for w in clean if readable(w)]
-        weights = np.empty((len(SCRIPTS) + len(CHAINS) + len(LOSSY), DIMENSIONS), dtype=np.float32)
-        by_script = [[w for w in clean if _word_script(w) == s] for s in SCRIPTS]
-        lossy = [[_dropped(w) for w in _garble_words(source, c)] for c in LOSSY]
-        for i, sample in enumerate([*by_script, *(_garble_words(source, c) for c in CHAINS), *lossy]):
-            text = ("  " + "  ".join(sample) + "  ").encode("utf-8", "surrogatepass")
-            counts = np.bincount(_features(text), minlength=DIMENSIONS) + 0.05
-            weights[i] = np.log(counts / counts.sum())
-        # words of several scripts are mostly what the search is for: nothing is usual in them
-        weights[SCRIPTS.index("")] = -np.log(DIMENSIONS)
-        model = Model(weights, dict(words))
-        if r + 1 < rounds:
-            known = {w: n for w, n in known.items() if diagnose(w, model) is None}
+    known, total = trusted_words(words), sum(words.values())
+    model = Model(fitted(known, total), dict(words))
+    # signs without letters teach nothing until those that are the rest of garbled words are known
+    model.weights[:, SCRIPTS.index("none")] = model.weights[:, SCRIPTS.index("mixed")]
+    for _ in range(rounds - 1):
+        listed = sorted(known)
+        found = {w for w, s in zip(listed, model.score(listed)) if diagnose(w, model, s) is not None}
+        if found:
+            known = {w: n for w, n in known.items() if w not in found}
+            model = Model(fitted(known, total), dict(words))
     return model
 
 
@@ -343,8 +440,8 @@ def _lone(word: str, model: Model) -> tuple[Chain, str] | None:
 _LEADS = bytes(range(0xC2, 0xE0))
 
 
-def _refilled(word: str, counts: dict[str, int]) -> bool:
-    """Whether one lost byte, put back behind a UTF-8 lead byte, makes a word of the sample."""
+def _refilled(word: str, counts: dict[str, int], times: int = 1) -> bool:
+    """Whether one lost byte, put back behind a UTF-8 lead byte, makes a word more than ``times`` as frequent."""
     for chain in LOSSY:
         data = to_bytes(word, chain[0][1])
         if data is None:
@@ -356,44 +453,50 @@ def _refilled(word: str, counts: dict[str, int]) -> bool:
                         text = (data[: at + 1] + bytes([filler]) + data[at + 1 :]).decode("utf-8")
                     except UnicodeDecodeError:
                         continue
-                    if counts.get(text, 0) > counts.get(word, 0):
+                    if counts.get(text, 0) > times * counts.get(word, 0):
                         return True
     return False
 
 
-def _utf8_proof(word: str, model: Model) -> tuple[Chain | None, str | None] | None:
-    whole = [(c, t) for c in _UTF8 if (t := invert(word, c)) and t != word and readable(t) and not t.isascii()]
+def _verified_utf8(word: str, chains: Sequence[int], model: Model) -> tuple[Chain, str] | None:
+    """Of the predicted chains through UTF-8 the one that decodes strictly, the whole word or else its foreign runs."""
+    utf8 = [CHAINS[i] for i in chains if CHAINS[i][0][0] == "utf-8"]
+    whole = [(c, t) for c in utf8 if (t := invert(word, c)) and t != word and readable(t) and not t.isascii()]
     if whole:
-        return max(whole, key=lambda h: (len(h[0]), model.clean(h[1]), -_UTF8.index(h[0])))
+        return max(whole, key=lambda h: (len(h[0]), model.clean(h[1]), -CHAINS.index(h[0])))
     runs = _RUN.findall(word)
-    for chain in _UTF8:
+    for chain in utf8:
         fixed = [_utf8_run(r, chain) for r in runs]
         if any(fixed):
             done = iter(f or r for f, r in zip(fixed, runs))
             return chain, _RUN.sub(lambda _: next(done), word)
-    if LOST in word or any(_partial_utf8(r) for r in runs):
-        return None, None
     return None
 
 
-def diagnose(word: str, model: Model) -> tuple[Chain | None, str | None] | None:
+def diagnose(word: str, model: Model, scores: Scores | None = None) -> tuple[Chain | None, str | None] | None:
     """(chain, original) of a garbled word, either null where bytes were lost; null for a clean word."""
     if word.isascii():
         return None
-    if not _NO_UTF8.fullmatch(word):
-        proof = _utf8_proof(word, model)
-        if proof is not None:
-            return proof
+    if scores is None:
+        scores = next(model.score([word]))
+    likely = np.flatnonzero(scores.chains > 0)
+    likely = likely[np.argsort(-scores.chains[likely], kind="stable")]
+    if len(likely) and not _NO_UTF8.fullmatch(word):
+        found = _verified_utf8(word, likely, model)
+        if found is not None:
+            return found
+    if LOST in word or scores.suspect and any(_partial_utf8(r) for r in _RUN.findall(word)):
+        return None, None
     if len(word) == 1:
-        return _lone(word, model)
-    if model.counts.get(word, 0) <= COMMON and _refilled(word, model.counts):
+        # too few bytes to tell by: frequencies decide
+        return _lone(word, model) or ((None, None) if scores.lossy > 0 and _refilled(word, model.counts, LONE) else None)
+    if scores.lossy > 0 and _refilled(word, model.counts):
         return None, None
     foreign = sum(not c.isascii() for c in word)
     if foreign < 2 and sum(c.isalpha() for c in word) < 2 and not _lost(word):
         return None
-    scores, usual = model.score(word)
     best = None
-    for i in np.flatnonzero(scores[: len(CHAINS)] > MARGIN):
+    for i in np.flatnonzero(scores.chains > -NEAR):
         text = invert(word, CHAINS[i])
         if text is None or text == word or not readable(text) or not any(c.isalpha() for c in text):
             continue
@@ -401,15 +504,18 @@ def diagnose(word: str, model: Model) -> tuple[Chain | None, str | None] | None:
         if before > COMMON and after <= before:
             # right words are more frequent than their garbled forms
             continue
-        gain = (model.clean(text) - usual) * len(_word_features(word)) + 2 * np.log1p(after)
+        if scores.chains[i] <= MARGIN and scores.chains[i] + 2 * np.log((after + 1) / (before + 1)) <= MARGIN:
+            continue
+        gain = (model.clean(text) - scores.usual) * (2 * len(word.encode("utf-8", "surrogatepass")) + 5) + 2 * np.log1p(after)
         if gain > GAIN and (best is None or gain > best[0]):
             best = (gain, CHAINS[i], text)
-    if best and (_lost(word) or scores[CHAINS.index(best[1])] >= scores[len(CHAINS) :].max()):
+    if best and (_lost(word) or scores.chains[CHAINS.index(best[1])] >= scores.lossy or scores.lossy <= 0):
         return best[1:]
     if best:
         # a chain that loses bytes explains the word better than the one that can be undone
         return None, None
-    if _lost(word) or scores[len(CHAINS) :].max() > LOSSY_MARGIN and (foreign > 1 and not readable(word) or usual < UNUSUAL):
+    strange = foreign > 1 and (not readable(word) or _word_script(word) == "none") or scores.usual < UNUSUAL
+    if _lost(word) or scores.lossy > LOSSY_MARGIN and strange or scores.lossy > 2 * LOSSY_MARGIN:
         return None, None
     return None
 
@@ -451,10 +557,35 @@ def _values(df: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
     return values.filter(F.col("value").rlike(r"[^\x00-\x7F]"))
 
 
-def sample_words(values: DataFrame, bound: int = TRAIN_VALUES) -> Counter:
-    """Counted words of at most ``bound`` values: those whose row has the smallest hash."""
-    taken = values.orderBy(F.xxhash64("id", "field", "value"), "value").limit(bound).select("value").toPandas()["value"]
-    return Counter(w for v in taken for w in _SPACE.split(v) if not w.isascii())
+def sample_words(words: DataFrame, bound: int = TRAIN_WORDS) -> dict[str, int]:
+    """The ``bound`` most frequent of ``words`` (word, n), no longer than ``TRAIN_LETTERS``; ties by hash."""
+    short = words.filter(F.length("word") <= TRAIN_LETTERS)
+    taken = short.orderBy(F.desc("n"), F.xxhash64("word"), "word").limit(bound).toPandas()
+    return dict(zip(taken["word"], taken["n"].tolist()))
+
+
+def _fit_part(bc):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        groups = by_script(*bc.value)
+        for pdf in batches:
+            yield pd.DataFrame({"place": pdf["id"], "weights": [fit_class(*CLASSES[i], groups).tobytes() for i in pdf["id"]]})
+
+    return run
+
+
+def fit_on(spark: SparkSession):
+    """``fit`` with the classes spread over the executors; each returns one row of ``DIMENSIONS`` numbers a class."""
+
+    def fitted(words: dict[str, int], total: int) -> np.ndarray:
+        bc = spark.sparkContext.broadcast(forms(words, total))  # bounded by TRAIN_WORDS and TRAIN_LETTERS
+        parts = min(len(CLASSES), spark.sparkContext.defaultParallelism)
+        rows = spark.range(0, len(CLASSES), 1, parts).mapInPandas(_fit_part(bc), "place long, weights binary").collect()
+        out = np.empty((DIMENSIONS, len(CLASSES)), dtype=np.float16)
+        for r in rows:
+            out[:, r.place] = np.frombuffer(r.weights, dtype=np.float16)
+        return out
+
+    return fitted
 
 
 class _Asked(dict):
@@ -466,14 +597,18 @@ class _Asked(dict):
 
 
 def _ask(bc):
+    """(word, text): the words that the classifier suspects, each with every text whose count their diagnosis needs."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for w in pdf["word"]:
-                asked = _Asked()
-                # with no word known every later question is asked too
-                diagnose(w, Model(bc.value, asked))
-                rows += [(w, t) for t in {w, *asked}]
+            words = pdf["word"].tolist()
+            for w, s in zip(words, Model(bc.value, {}).score(words)):
+                if s.suspect or LOST in w or len(w) == 1:
+                    # with no word known every later question is asked too
+                    asked = _Asked()
+                    diagnose(w, Model(bc.value, asked), s)
+                    rows += [(w, t) for t in {w, *asked}]
             yield pd.DataFrame(rows, columns=["word", "text"])
 
     return run
@@ -483,8 +618,9 @@ def _diagnose(bc):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for w, known in zip(pdf["word"], pdf["known"]):
-                d = diagnose(w, Model(bc.value, {k["text"]: k["n"] for k in known}))
+            words = pdf["word"].tolist()
+            for w, known, s in zip(words, pdf["known"], Model(bc.value, {}).score(words)):
+                d = diagnose(w, Model(bc.value, {k["text"]: k["n"] for k in known}), s)
                 if d is not None:
                     rows.append((w, CHAINS.index(d[0]) if d[0] else -1, d[1]))
             yield pd.DataFrame(rows, columns=["word", "chain", "text"])
@@ -510,22 +646,30 @@ def _words(text: str = "value"):
     return F.explode(F.array_distinct(F.split(text, _SPACE.pattern))).alias("word")
 
 
-def diagnoses(values: DataFrame, bc) -> DataFrame:
-    """(word, place of the chain or -1, original) of every garbled word of ``values``, by its counts over all of them."""
+def count_words(values: DataFrame) -> DataFrame:
+    """(word, n) of every word with a foreign character, counted over all of ``values``."""
     every = values.select(F.explode(F.split("value", _SPACE.pattern)).alias("word")).filter(F.col("word").rlike(r"[^\x00-\x7F]"))
-    words = materialize(every.groupBy("word").agg(F.count("*").alias("n")), "words")
+    return every.groupBy("word").agg(F.count("*").alias("n"))
+
+
+def diagnoses(values: DataFrame, bc, words: DataFrame | None = None) -> DataFrame:
+    """(word, place of the chain or -1, original) of every garbled word of ``values``, by its counts over all of them (``words``)."""
+    words = materialize(count_words(values), "words") if words is None else words
     # tasks follow the words, of which few files may hold many
-    asked = materialize(words.select("word").repartition("word").mapInPandas(_ask(bc), "word string, text string"), "asked")
+    parts = words.sparkSession.sparkContext.defaultParallelism
+    asked = materialize(words.select("word").repartition(parts, "word").mapInPandas(_ask(bc), "word string, text string"), "asked")
     known = lookup(asked, words.withColumnRenamed("word", "text"), "text").groupBy("word").agg(F.collect_list(F.struct("text", "n")).alias("known"))
     return materialize(known.mapInPandas(_diagnose(bc), "word string, chain int, text string"), "diagnoses")
 
 
-def find(df: DataFrame, id_col: str, fields: Sequence[str], train_values: int = TRAIN_VALUES) -> DataFrame:
+def find(df: DataFrame, id_col: str, fields: Sequence[str], train_words: int = TRAIN_WORDS) -> DataFrame:
     """(id, field, chain, restored) for every garbled value of ``fields``."""
+    spark = df.sparkSession
     values = _values(df, id_col, fields)
-    bc = df.sparkSession.sparkContext.broadcast(train(sample_words(values, train_values)).weights)  # classes x DIMENSIONS floats
+    words = materialize(count_words(values), "words")
+    bc = spark.sparkContext.broadcast(train(sample_words(words, train_words), fitted=fit_on(spark)).weights)  # DIMENSIONS x classes, 2 bytes each
     keyed = values.withColumn("key", F.sha2("value", 256))
-    garbled = lookup(keyed.select("key", "value").dropDuplicates(["key"]).select("key", _words()), diagnoses(values, bc), "word")
+    garbled = lookup(keyed.select("key", "value").dropDuplicates(["key"]).select("key", _words()), diagnoses(values, bc, words), "word")
     by_value = materialize(garbled.groupBy("key").agg(F.collect_list(F.struct("word", "chain", "text")).alias("found")), "found")
     id_type = df.schema[id_col].dataType.simpleString()
     found = lookup(keyed, by_value, "key").select("id", "field", "value", "found")

@@ -82,3 +82,24 @@ def test_counts_are_of_all_values(spark, model):
     bc = spark.sparkContext.broadcast(model.weights)
     assert [(r.word, r.chain, r.text) for r in g.diagnoses(df, bc).collect()] == [("Ãber", -1, None)]
     assert g.diagnose("Ãber", model) is None
+
+
+def test_the_classifier_decides_first(model):
+    # with a classifier that prefers "clean" everywhere nothing is found, strict UTF-8 or not
+    blind = g.Model(model.weights.copy(), model.counts)
+    blind.weights[:, : len(g.SCRIPTS)] = 0
+    for word, chain in [("größtenteils", (("utf-8", "cp1252"),)), ("הגנזים", (("cp1255", "cp1251"),))]:
+        bad = g.garble(word, chain)
+        assert g.diagnose(bad, model)[1] == word
+        assert g.diagnose(bad, blind) is None
+
+
+def test_the_fit_does_not_depend_on_the_size_of_the_corpus(words):
+    # garbled words that grow with the corpus do not pass for right ones
+    bad = [g.garble(w, (("cp1255", "cp1251"),)) for w in HEBREW if len(w) > 3]
+    for times in (1, 100):
+        grown = Counter({w: 3_000 * times * n for w, n in words.items()})
+        grown.update({w: times for w in bad})
+        model = g.train(grown)
+        assert all(g.diagnose(w, model) is not None for w in bad)
+        assert [w for w in words if g.diagnose(w, model) is not None] == []
