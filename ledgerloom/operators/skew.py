@@ -9,6 +9,25 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS, HOT_ROWS = 5_000, 200_000
 
 
+#: a frame is broadcast only if its rows, written as JSON, are counted and take no more than this
+BROADCAST_BYTES = 16 << 20
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a (stored) frame takes no more than ``most`` bytes; it is read once to know."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("n")).first()
+    return size["n"] <= most
+
+
+def lookup_stored(left: DataFrame, right: DataFrame, key: str, how: str = "inner", most: int = BROADCAST_BYTES) -> DataFrame:
+    """Join of ``left`` with a stored ``right``, which holds each ``key`` once.
+
+    A ``right`` of no more than ``most`` bytes is broadcast, so that ``left``
+    stays where it lies; beyond that it is a :func:`lookup`.
+    """
+    return left.join(F.broadcast(right), key, how) if is_small(right, most) else lookup(left, right, key, how=how)
+
+
 def hot_keys(df: DataFrame, key: str, n: int, max_keys: int = MAX_HOT_KEYS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The hot keys of a frame of ``n`` rows.
 

@@ -149,3 +149,14 @@ def test_validation(spark):
     assert [r.reasons for r in validation.row_reasons(df, {"n": F.col("n") > 1, "a": F.col("w") == "x"}).orderBy("k", "n").collect()] == [["n"], [], ["a", "n"]]
     assert {(r.k, r.n, r.w_ok, r.healthy) for r in validation.health(df, "k", {"w_ok": F.col("w") == "x"}).collect()} == {("a", 2, 2, True), ("b", 1, 0, False)}
     assert [tuple(r) for r in validation.conflicting(df, "k", ["n", "w"]).collect()] == [("a", "n", 2)]
+
+
+def test_stored_lookup_is_the_same_with_and_without_broadcast(spark):
+    from ledgerloom.operators import skew
+
+    left = spark.createDataFrame([(i, i % 7 or None) for i in range(60)], "v int, k int")
+    right = spark.createDataFrame([(1, "a"), (2, None), (9, "c")], "k int, w string")
+    for how in ("inner", "left"):
+        got = [sorted(map(str, skew.lookup_stored(left, right, "k", how, most).collect())) for most in (0, 1 << 20)]
+        assert got[0] == got[1]
+    assert skew.is_small(right.limit(0), 0) and not skew.is_small(right, 10)
