@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.skew import lookup
+from ledgerloom.operators.skew import lookup, lookup_stored
 from ledgerloom.storage import materialize
 
 TRAIN_WORDS, TRAIN_LETTERS = 40_000, 64
@@ -597,7 +597,7 @@ class _Asked(dict):
 
 
 def _ask(bc):
-    """(word, text): the words that the classifier suspects, each with every text whose count their diagnosis needs."""
+    """(word, text, chain, original): what the classifier predicts and strict UTF-8 verifies, decided at once, and of the other words it suspects every text whose count their diagnosis needs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -607,9 +607,12 @@ def _ask(bc):
                 if s.suspect or LOST in w or len(w) == 1:
                     # with no word known every later question is asked too
                     asked = _Asked()
-                    diagnose(w, Model(bc.value, asked), s)
-                    rows += [(w, t) for t in {w, *asked}]
-            yield pd.DataFrame(rows, columns=["word", "text"])
+                    d = diagnose(w, Model(bc.value, asked), s)
+                    if d is not None and not asked:
+                        rows.append((w, None, CHAINS.index(d[0]) if d[0] else -1, d[1]))
+                    else:
+                        rows += [(w, t, None, None) for t in {w, *asked}]
+            yield pd.DataFrame(rows, columns=["word", "text", "chain", "original"]).astype({"chain": "Int32"})
 
     return run
 
@@ -643,7 +646,8 @@ def _restore(bc):
 
 
 def _words(text: str = "value"):
-    return F.explode(F.array_distinct(F.split(text, _SPACE.pattern))).alias("word")
+    """The foreign words of a text, each once."""
+    return F.explode(F.array_distinct(F.filter(F.split(text, _SPACE.pattern), lambda w: w.rlike(r"[^\x00-\x7F]")))).alias("word")
 
 
 def count_words(values: DataFrame) -> DataFrame:
@@ -657,9 +661,12 @@ def diagnoses(values: DataFrame, bc, words: DataFrame | None = None) -> DataFram
     words = materialize(count_words(values), "words") if words is None else words
     # tasks follow the words, of which few files may hold many
     parts = words.sparkSession.sparkContext.defaultParallelism
-    asked = materialize(words.select("word").repartition(parts, "word").mapInPandas(_ask(bc), "word string, text string"), "asked")
-    known = lookup(asked, words.withColumnRenamed("word", "text"), "text").groupBy("word").agg(F.collect_list(F.struct("text", "n")).alias("known"))
-    return materialize(known.mapInPandas(_diagnose(bc), "word string, chain int, text string"), "diagnoses")
+    asked = materialize(words.select("word").repartition(parts, "word").mapInPandas(_ask(bc), "word string, text string, chain int, original string"), "asked")
+    at_once = asked.filter("text IS NULL").select("word", "chain", F.col("original").alias("text"))
+    open_ = asked.filter("text IS NOT NULL").select("word", "text")
+    known = lookup(open_, words.withColumnRenamed("word", "text"), "text").groupBy("word").agg(F.collect_list(F.struct("text", "n")).alias("known"))
+    later = known.repartition(parts, "word").mapInPandas(_diagnose(bc), "word string, chain int, text string")
+    return materialize(at_once.unionByName(later), "diagnoses")
 
 
 def find(df: DataFrame, id_col: str, fields: Sequence[str], train_words: int = TRAIN_WORDS) -> DataFrame:
@@ -669,8 +676,8 @@ def find(df: DataFrame, id_col: str, fields: Sequence[str], train_words: int = T
     words = materialize(count_words(values), "words")
     bc = spark.sparkContext.broadcast(train(sample_words(words, train_words), fitted=fit_on(spark)).weights)  # DIMENSIONS x classes, 2 bytes each
     keyed = values.withColumn("key", F.sha2("value", 256))
-    garbled = lookup(keyed.select("key", "value").dropDuplicates(["key"]).select("key", _words()), diagnoses(values, bc, words), "word")
-    by_value = materialize(garbled.groupBy("key").agg(F.collect_list(F.struct("word", "chain", "text")).alias("found")), "found")
+    garbled = lookup_stored(keyed.select("key", _words()), diagnoses(values, bc, words), "word")
+    by_value = materialize(garbled.distinct().groupBy("key").agg(F.collect_list(F.struct("word", "chain", "text")).alias("found")), "found")
     id_type = df.schema[id_col].dataType.simpleString()
-    found = lookup(keyed, by_value, "key").select("id", "field", "value", "found")
+    found = lookup_stored(keyed, by_value, "key").select("id", "field", "value", "found")
     return found.mapInPandas(_restore(bc), f"id {id_type}, field string, chain string, restored string").withColumnRenamed("id", id_col)
