@@ -54,6 +54,8 @@ FORMS_OF = 200_000
 MARGIN, GAIN = 1.0, 6.0
 #: a chain that falls short of "clean" by no more than NEAR is tried too: a far more frequent original makes up for it
 NEAR = 12.0
+#: a chain that falls short of the likeliest class by more than FAR is not tried
+FAR = 40.0
 #: where bytes were lost nothing can be inverted: the chain must win by more, and the word be unusual, or by twice that
 LOSSY_MARGIN, UNUSUAL = 10.0, -8.0
 
@@ -479,7 +481,8 @@ def diagnose(word: str, model: Model, scores: Scores | None = None) -> tuple[Cha
         return None
     if scores is None:
         scores = next(model.score([word]))
-    likely = np.flatnonzero(scores.chains > 0)
+    tried = np.flatnonzero(scores.chains > max(-NEAR, max(scores.chains.max(), scores.lossy) - FAR))
+    likely = tried[scores.chains[tried] > 0]
     likely = likely[np.argsort(-scores.chains[likely], kind="stable")]
     if len(likely) and not _NO_UTF8.fullmatch(word):
         found = _verified_utf8(word, likely, model)
@@ -496,7 +499,7 @@ def diagnose(word: str, model: Model, scores: Scores | None = None) -> tuple[Cha
     if foreign < 2 and sum(c.isalpha() for c in word) < 2 and not _lost(word):
         return None
     best = None
-    for i in np.flatnonzero(scores.chains > -NEAR):
+    for i in tried:
         text = invert(word, CHAINS[i])
         if text is None or text == word or not readable(text) or not any(c.isalpha() for c in text):
             continue
