@@ -1,38 +1,50 @@
 """Change derivation between consecutive full snapshots.
 
-Every key gets a persistent ordinal, ``(block << 32) | position``: the block is
-a hash of the key, the position its rank inside the block by (first snapshot,
-key), so keys that later snapshots bring are appended and no ordinal moves.
-Per block and snapshot the present positions form a compressed bitmap
+Every key gets a persistent ordinal, ``(block << 32) | position``, kept in a
+stored table that only grows: the block is a hash of the key over a fixed number
+of blocks, and keys that the table lacks are appended behind the last position
+of their block, in the order of (first snapshot, key). A later or late snapshot
+moves no ordinal. Per snapshot the present ordinals form a compressed bitmap
 (:mod:`ledgerloom.functions.bitmaps`); AND-NOT of two consecutive bitmaps gives
 removals and additions, AND gives the common keys, and for each watched group
 of columns an ordinal-aligned vector of value digests shows which changed.
 
 Shuffles: one on (key, snapshot) after a map-side reduction to the latest row,
 so a key repeated in a third of the rows is reduced before it moves; one on the
-block. A task holds one block at a time; ``rows_per_block`` fixes its size
-whatever the number of keys.
+key to meet the ordinals; one on the containers of 2^16 ordinals, of which a
+task holds as many as ``rows_per_block`` rows make, and one at least.
 
 Defined cases: a null key or null snapshot name is an ordinary value equal only
 to null; a snapshot that holds a key more than once counts the row with the
 latest arrival (null arrivals first), ties by the larger digest; an empty table
 gives no rows; a single snapshot gives no rows; columns that are not named in
-``keys``/``ignored`` belong to the ``rest`` group whatever they are called.
+``keys``/``ignored`` belong to the ``rest`` group whatever they are called;
+values nested in arrays, structs and maps are compared as exactly as others.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import bitmaps
+from ledgerloom.storage import materialize, shared_dir
 
 ROWS_PER_BLOCK = 40_000
+#: blocks of a table of ordinals, fixed for its life
+BLOCKS = 1024
+
+
+def _counted(text: Column) -> Column:
+    """A part of a longer text: its length before it, null with a mark of its own."""
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
 
 
 def _canonical(col: Column, dtype: T.DataType) -> Column:
@@ -40,8 +52,15 @@ def _canonical(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         # 0.0 and -0.0 compare equal; so do all NaN
         return F.when(col == 0, F.lit("0")).otherwise(col.cast("string"))
-    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
-        return F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
+    if isinstance(dtype, T.StructType):
+        parts = F.concat(F.lit("("), *[_counted(_canonical(col[f.name], f.dataType)) for f in dtype.fields])
+        return F.when(col.isNotNull(), parts)
+    if isinstance(dtype, T.ArrayType):
+        return F.concat(F.lit("["), F.array_join(F.transform(col, lambda x: _counted(_canonical(x, dtype.elementType))), ""))
+    if isinstance(dtype, T.MapType):
+        pair = T.StructType([T.StructField("key", dtype.keyType), T.StructField("value", dtype.valueType)])
+        texts = F.transform(F.map_entries(col), lambda x: _counted(_canonical(x, pair)))
+        return F.concat(F.lit("{"), F.array_join(F.array_sort(texts), ""))
     if isinstance(dtype, T.BinaryType):
         return F.hex(col)
     return col.cast("string")
@@ -54,11 +73,10 @@ def digest(df: DataFrame, names: Sequence[str]) -> Column:
     different rows never give the same text.
     """
     if not names:
-        return F.lit(b"")
+        return F.lit(bytes(16))
     parts = []
     for name in names:
-        text = _canonical(F.col(f"`{name}`"), df.schema[name].dataType)
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
+        parts.append(_counted(_canonical(F.col(f"`{name}`"), df.schema[name].dataType)))
     return F.unhex(F.substring(F.sha2(F.concat(*parts), 256), 1, 32))
 
 
@@ -82,39 +100,73 @@ def latest_rows(df: DataFrame, key: str, snapshot: str, arrived_at: str, groups:
     return slim.groupBy("key", "snapshot").agg(best).select("key", "snapshot", *[F.col(f"row.{n}").alias(n) for n in names])
 
 
-def assign_ordinals(rows: DataFrame, blocks: int) -> DataFrame:
-    """Adds ``block`` and ``position``: the persistent ordinal of ``key``.
+def assign_ordinals(rows: DataFrame, blocks: int = BLOCKS, known: DataFrame | None = None) -> DataFrame:
+    """Adds ``block`` and ``position``: the ordinal of ``key``, behind those of ``known`` (key, block, position).
 
-    ``rows`` has ``key`` and ``rank`` (the snapshot's rank). Both windows run
-    on the block's partitioning, so this takes a single exchange.
+    ``rows`` has ``key``, none of them in ``known``, and ``rank`` (the
+    snapshot's rank). Both windows run on the block's partitioning, so this
+    takes a single exchange.
     """
     block = F.pmod(F.xxhash64(F.col("key")), F.lit(blocks)).cast("int")
     first = F.min("rank").over(Window.partitionBy("block", "key"))
     position = F.dense_rank().over(Window.partitionBy("block").orderBy("first", F.col("key").asc_nulls_first())) - 1
-    return rows.withColumn("block", block).repartition("block").withColumn("first", first).withColumn("position", position).drop("first")
+    placed = rows.withColumn("block", block).repartition("block").withColumn("first", first).withColumn("position", position.cast("long")).drop("first")
+    if known is None:
+        return placed
+    used = F.broadcast(known.groupBy("block").agg((F.max("position") + 1).alias("__used")))  # one row a block
+    return placed.join(used, "block", "left").withColumn("position", F.col("position") + F.coalesce("__used", F.lit(0))).drop("__used")
+
+
+def stored_ordinals(spark: SparkSession, path: str, key_type: str) -> DataFrame:
+    """The table of ordinals (key, block, position) at ``path``; an empty one if there is none yet."""
+    schema = f"key {key_type}, block int, position long"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _same_key(a: DataFrame, b: DataFrame) -> Column:
+    return a["key"].eqNullSafe(b["__key"])
+
+
+def update_ordinals(rows: DataFrame, path: str, blocks: int = BLOCKS) -> DataFrame:
+    """The table at ``path`` after the keys of ``rows`` (key, rank) that it lacks are appended.
+
+    One writer at a time; a write that fails leaves the table as it was.
+    """
+    spark, key_type = rows.sparkSession, rows.schema["key"].dataType.simpleString()
+    known = stored_ordinals(spark, path, key_type)
+    keys, old = rows.groupBy("key").agg(F.min("rank").alias("rank")), known.select(F.col("key").alias("__key"))
+    fresh = keys.join(old, _same_key(keys, old), "left_anti")
+    assign_ordinals(fresh, blocks, known).select("key", "block", "position").write.mode("append").parquet(path)
+    return stored_ordinals(spark, path, key_type)
 
 
 def _compare(groups: Sequence[str]):
-    def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one_task(pdf: pd.DataFrame) -> pd.DataFrame:
         ranks = np.sort(pdf["rank"].unique())
-        width = int(pdf["position"].max()) + 1
-        keys = np.empty(width, dtype=object)
-        keys[pdf["position"].to_numpy()] = pdf["key"].to_numpy()
+        # vectors are aligned by the ordinals that the task holds, in their order
+        ordinals, place = np.unique(pdf["ordinal"].to_numpy(), return_inverse=True)
+        keys = np.empty(len(ordinals), dtype=object)
+        keys[place] = pdf["key"].to_numpy()
         present, vectors = {}, {}
         for r in ranks:
-            part = pdf[pdf["rank"] == r]
-            at = part["position"].to_numpy()
-            present[r] = bitmaps.compress(at)
+            mine = (pdf["rank"] == r).to_numpy()
+            part, at = pdf[mine], place[mine]
+            present[r] = bitmaps.compress(ordinals[at])
             for g in groups:
                 raw = np.frombuffer(b"".join(part[f"d_{g}"]), dtype=np.uint64).reshape(-1, 2)
-                vec = np.zeros((width, 2), dtype=np.uint64)
+                vec = np.zeros((len(ordinals), 2), dtype=np.uint64)
                 vec[at] = raw
                 vectors[r, g] = vec
         out: list[pd.DataFrame] = []
 
-        def add(rank: int, positions: np.ndarray, kind: str) -> None:
-            if len(positions):
-                out.append(pd.DataFrame({"rank": rank, "key": keys[positions], "change_type": kind}))
+        def add(rank: int, found: np.ndarray, kind: str) -> None:
+            if len(found):
+                out.append(pd.DataFrame({"rank": rank, "key": keys[np.searchsorted(ordinals, found)], "change_type": kind}))
 
         empty = bitmaps.compress(np.empty(0, dtype=np.int64))
         for r in sorted({*ranks, *(ranks + 1)}):
@@ -122,12 +174,13 @@ def _compare(groups: Sequence[str]):
             add(r, bitmaps.and_not(new, old), "added")
             add(r, bitmaps.and_not(old, new), "removed")
             both = bitmaps.intersect(new, old)
+            at = np.searchsorted(ordinals, both)
             for g in groups if len(both) else ():
-                a, b = vectors[r, g][both], vectors[r - 1, g][both]
+                a, b = vectors[r, g][at], vectors[r - 1, g][at]
                 add(r, both[(a != b).any(axis=1)], g)
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"rank": [], "key": [], "change_type": []})
 
-    return one_block
+    return one_task
 
 
 def snapshot_changes(
@@ -139,22 +192,30 @@ def snapshot_changes(
     groups: dict[str, Sequence[str]],
     rest: str = "metadata",
     rows_per_block: int = ROWS_PER_BLOCK,
+    ordinals: str | None = None,
 ) -> DataFrame:
     """(previous, snapshot, key, change_type) for every two consecutive snapshots.
 
     ``groups`` names sets of watched columns; all columns that are neither in
     one of them nor the key, snapshot, ``taken_at`` or ``arrived_at`` form the
-    group ``rest``.
+    group ``rest``. ``ordinals`` is the path of the table of ordinals, which
+    outlives the run; without one the run keeps its own in the shared folder.
     """
     named = {c for cols in groups.values() for c in cols} | {key, snapshot, taken_at, arrived_at}
     all_groups = {**groups, rest: [c for c in df.columns if c not in named]}
     order = snapshot_order(df, snapshot, taken_at)
-    # the count reads only file footers; it sizes blocks, so every size of input gets blocks of one size
-    blocks = max(8, -(-df.count() // rows_per_block))
+    spark = df.sparkSession
+    path = ordinals or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/ordinals-{uuid.uuid4().hex}"
     rows = latest_rows(df, key, snapshot, arrived_at, all_groups)
     ranks = F.broadcast(order.select(F.col("snapshot").alias("s"), "rank"))  # one row per snapshot
-    ranked = rows.join(ranks, F.col("snapshot").eqNullSafe(F.col("s"))).drop("s", "snapshot")
+    ranked = materialize(rows.join(ranks, F.col("snapshot").eqNullSafe(F.col("s"))).drop("s", "snapshot"), "latest")
+    placed = update_ordinals(ranked.select("key", "rank"), path).withColumnRenamed("key", "__key")
+    # the count reads only file footers; it sizes tasks, and no ordinal depends on it
+    tasks = max(8, -(-ranked.count() // rows_per_block))
+    ordinal = F.shiftleft(F.col("block").cast("long"), 32).bitwiseOR(F.col("position"))
+    known = ranked.join(placed, _same_key(ranked, placed)).withColumn("ordinal", ordinal).drop("__key", "block", "position")
+    task = F.pmod(F.xxhash64(F.shiftright("ordinal", 16)), F.lit(tasks))
     key_type = df.schema[key].dataType.simpleString()
-    changes = assign_ordinals(ranked, blocks).groupBy("block").applyInPandas(_compare(list(all_groups)), f"rank int, key {key_type}, change_type string")
+    changes = known.withColumn("task", task).groupBy("task").applyInPandas(_compare(list(all_groups)), f"rank int, key {key_type}, change_type string")
     pairs = F.broadcast(order.filter("rank > 1").select("rank", F.col("previous").alias("previous_snapshot"), "snapshot"))
     return changes.join(pairs, "rank").select("previous_snapshot", "snapshot", "key", "change_type")

@@ -83,3 +83,38 @@ def test_ordinals_do_not_move(spark):
     at = [{r.key: (r.block, r.position) for r in snapshots.assign_ordinals(spark.createDataFrame(rows, "key string, rank int"), 4).collect()} for rows in (old, new)]
     assert all(at[1][k] == p for k, p in at[0].items())
     assert len(set(at[1].values())) == 80
+
+
+def test_stored_ordinals_do_not_move(spark, tmp_path):
+    path = str(tmp_path / "ordinals")
+
+    def row(v, k, split="s"):
+        return (f"v{v}", k, split, None, None, None, T0 + dt.timedelta(v), T0)
+
+    def run(versions, keys, rows_per_block):
+        df = spark.createDataFrame([row(v, f"k{i}", "t" if i % 9 == v else "s") for v in versions for i in keys(v)] + [row(versions[0], None)], SCHEMA)
+        got = changes(df, ordinals=path, rows_per_block=rows_per_block)
+        return got, {r.key: (r.block, r.position) for r in snapshots.stored_ordinals(spark, path, "string").collect()}
+
+    _, first = run([3, 4], lambda v: range(50 * (v - 3), 3000), 100_000)
+    # a snapshot that arrives late and one that brings more keys than all before
+    got, then = run([2, 3, 4, 5], lambda v: range(50 * abs(v - 3), 3000 if v < 5 else 9000), 500)
+    assert all(then[k] == at for k, at in first.items()) and len(then) == 9001 == len(set(then.values()))
+    assert {k for a, b, k, kind in got if (a, b, kind) == ("v4", "v5", "added")} == {f"k{i}" for i in range(3000, 9000)}
+    assert {k for a, b, k, kind in got if (a, b, kind) == ("v2", "v3", "added")} == {f"k{i}" for i in range(50)}
+    assert ("v2", "v3", None, "removed") in got
+
+
+def test_nested_values_are_compared_exactly(spark):
+    schema = "ver string, key string, split string, assets array<struct<p: timestamp, q: double, m: map<string,int>>>, taken timestamp, arrived timestamp"
+    t = dt.datetime(2024, 1, 1, 1, 2, 3, 123456)
+
+    def table(a, b):
+        return spark.createDataFrame([("a", "k", "s", a, T0, T0), ("b", "k", "s", b, T0 + dt.timedelta(1), T0)], schema)
+
+    base = [(t, 0.0, {"x": 1, "y": 2})]
+    assert changes(table(base, [(t.replace(microsecond=123999), 0.0, {"x": 1, "y": 2})])) == {("a", "b", "k", "assets")}
+    assert changes(table(base, [(t, -0.0, {"y": 2, "x": 1})])) == set()
+    assert changes(table(base, [(t, 0.0, {"x": 1, "y": 3})])) == {("a", "b", "k", "assets")}
+    assert changes(table([None], [(None, None, None)])) == {("a", "b", "k", "assets")}
+    assert changes(table([], None)) == {("a", "b", "k", "assets")}
