@@ -62,9 +62,15 @@ def stable_bucket(col: Column) -> Column:
 
 
 def natural_key(col: Column) -> Column:
-    """Sorts as text in which numbers count by value: v0.9 before v0.10."""
+    """Sorts as text in which numbers count by value: v0.9 before v0.10. Numbers of more than 20 digits follow, by length."""
     parts = F.regexp_extract_all(F.lower(col), F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 20, "0")).otherwise(p)), "")
+
+    def part(p: Column) -> Column:
+        digits = F.ltrim(p, F.lit("0"))
+        long = F.concat(F.lit(":"), F.lpad(F.length(digits).cast("string"), 9, "0"), digits)
+        return F.when(~p.rlike(r"^\d"), p).when(F.length(digits) <= 20, F.lpad(digits, 20, "0")).otherwise(long)
+
+    return F.array_join(F.transform(parts, part), "")
 
 
 def escape_html(col: Column) -> Column:
@@ -98,5 +104,7 @@ def is_portable_path(col: Column) -> Column:
 
 
 def looks_local(col: Column) -> Column:
-    """A path that means something on one machine only."""
-    return F.coalesce(col.rlike(r"^(/|~|file:|[A-Za-z]:[\\/])|^(package|file)://"), F.lit(False))
+    """A path that means something on one machine only; addresses on the web and in packages are none, whatever they hold."""
+    public = col.rlike(r"^(https?|package)://")
+    local = col.rlike(r"^(/|file://|\\\\|[A-Za-z]:[\\/])|\.work[/\\]")
+    return F.coalesce(~public & local, F.lit(False))

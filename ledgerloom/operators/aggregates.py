@@ -29,7 +29,7 @@ def composition(df: DataFrame, sets: Sequence[Sequence[str]], flag: str) -> Data
         F.grouping_id().cast("long").alias("grouping"),
         F.count("*").alias("n"),
         F.count_if(F.col(flag)).alias("flagged"),
-        F.round(F.count_if(F.col(flag)) / F.count("*"), 6).alias("share"),
+        F.bround(F.count_if(F.col(flag)) / F.count("*"), 6).alias("share"),
     )
 
 

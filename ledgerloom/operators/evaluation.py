@@ -29,7 +29,7 @@ def corpus_metrics(scored: DataFrame) -> DataFrame:
         F.count("*").alias("examples"),
         n.alias("scored"),
         F.count_if(F.col("status") == "no_reference").alias("missing_references"),
-        F.round(F.try_divide(F.sum("distance"), F.sum("length")), 6).alias("error_rate"),
-        F.round(F.try_divide(F.count_if("exact"), n), 6).alias("exact_rate"),
-        F.round(F.try_divide(n, F.count("*")), 6).alias("coverage"),
+        F.bround(F.try_divide(F.sum("distance"), F.sum("length")), 6).alias("error_rate"),
+        F.bround(F.try_divide(F.count_if("exact"), n), 6).alias("exact_rate"),
+        F.bround(F.try_divide(n, F.count("*")), 6).alias("coverage"),
     )

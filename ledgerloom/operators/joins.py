@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+NUMBERS = 1 << 20
+
+
 def first_match(df: DataFrame, value: Column, dimension: DataFrame, labels: Column, order: str, take: str) -> DataFrame:
     """``df`` with ``take`` of the first dimension row, by ``order``, that has ``value`` among its labels."""
     exploded = dimension.select(F.explode(labels).alias("__label"), order, take).filter(F.col("__label").isNotNull())
@@ -43,17 +46,25 @@ def either_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]
     return left.withColumn(take, F.coalesce(*found)).drop(*[f"__m{i}" for i in range(len(keys))])
 
 
-def range_lookup(facts: DataFrame, key: str, at: str, states: DataFrame, since: str, take: Sequence[str]) -> DataFrame:
-    """``facts`` with the latest state of the key at or before ``at``.
+def range_lookup(facts: DataFrame, key: str, at: str, states: DataFrame, since: str, take: Sequence[str], bucket: str = "month") -> DataFrame:
+    """``facts`` with the latest state of the key at or before ``at``; states have one row a (key, time).
 
-    One union and one window on the key: linear, where a range join is not.
+    One union and a window on (key, ``bucket`` of time): linear, where a range
+    join is not, and a key with a third of all rows is as many tasks as it has
+    buckets. What holds when a bucket begins is the last state of the buckets
+    before, one row each. Numbers have buckets of ``NUMBERS``.
     """
-    from pyspark.sql import Window
-
-    shared = facts.withColumns({"__t": F.col(at), "__fact": F.lit(1), **{f"__s_{c}": F.lit(None).cast(states.schema[c].dataType) for c in take}, "__has": F.lit(None).cast("int")})
-    marks = states.select(F.col(key), F.col(since).alias("__t"), F.lit(0).alias("__fact"), *[F.col(c).alias(f"__s_{c}") for c in take], F.lit(1).alias("__has"))
+    value = F.struct(*[F.col(c) for c in take])
+    shared = facts.withColumns({"__t": F.col(at), "__fact": F.lit(1), "__v": F.lit(None).cast(states.select(value.alias("v")).schema["v"].dataType)})
+    marks = states.select(F.col(key), F.col(since).alias("__t"), F.lit(0).alias("__fact"), value.alias("__v"))
     both = shared.unionByName(marks, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("__t", "__fact").rowsBetween(Window.unboundedPreceding, 0)
-    state = F.last(F.when(F.col("__has") == 1, F.struct(*[F.col(f"__s_{c}").alias(c) for c in take])), ignorenulls=True).over(w)
-    out = both.withColumn("__state", state).filter("__fact = 1")
+    is_time = both.schema["__t"].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
+    both = both.withColumn("__b", F.date_trunc(bucket, "__t") if is_time else F.floor(F.col("__t") / NUMBERS))
+    inside = Window.partitionBy(key, "__b").orderBy("__t", "__fact").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__in", F.last(F.when(F.col("__fact") == 0, F.col("__v")), ignorenulls=True).over(inside)).filter("__fact = 1")
+    # buckets that hold a fact or a state, with the last state before each
+    per = both.groupBy(key, "__b").agg(F.max_by("__v", F.when(F.col("__fact") == 0, F.col("__t"))).alias("__end"))
+    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per.select(F.col(key), "__b", F.last("__end", ignorenulls=True).over(before).alias("__carried")).filter("__carried IS NOT NULL")
+    out = found.join(carried, [key, "__b"], "left").withColumn("__state", F.coalesce("__in", "__carried"))
     return out.select(*facts.columns, *[F.col(f"__state.{c}").alias(c) for c in take])

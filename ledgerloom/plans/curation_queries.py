@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as tx
 from ledgerloom.operators import aggregates, dedupe, history, joins, splits, validation
-from ledgerloom.storage import table
+from ledgerloom.operators.skew import lookup
+from ledgerloom.storage import materialize, table
 
 SHARES = [("train", 0.8), ("validation", 0.1), ("test", 0.1)]
 #: sources whose row is kept when texts are equal; all others rank after them
@@ -24,7 +25,8 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.canonical_rows(_items(spark, sf_dir), "fingerprint", "doc_id", ["prio"])
+    # hashed once: the rows are read several times
+    return dedupe.canonical_rows(materialize(_items(spark, sf_dir), "items"), "fingerprint", "doc_id", ["prio"])
 
 
 _MARKED = f"""
@@ -39,9 +41,9 @@ def exact_dedupe_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact_dedupe_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _items(spark, sf_dir)
+    rows = materialize(_items(spark, sf_dir), "items")
     kept = dedupe.clusters(rows, "fingerprint", "doc_id", ["prio"])
-    return rows.join(kept, "fingerprint").filter("doc_id <> canonical").select("doc_id", "canonical", "fingerprint")
+    return lookup(rows, kept, "fingerprint").filter("doc_id <> canonical").select("doc_id", "canonical", "fingerprint")
 
 
 def exact_dedupe_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,9 +93,12 @@ SELECT 'source-group:' || substr(sha256(work), 1, 16) AS group_id, work, count(*
 
 def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split by item where a document names one, else by its text."""
-    docs = table(spark, sf_dir, "documents")
+    return _split_rows(spark, sf_dir).select("doc_id", "split_group", "split")
+
+
+def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     group = F.coalesce(F.nullif("item_id", F.lit("")), F.sha2("text", 256), F.concat(F.lit("doc:"), F.col("doc_id")))
-    return docs.select("doc_id", group.alias("split_group")).withColumn("split", splits.pick_split(F.col("split_group"), SHARES))
+    return table(spark, sf_dir, "documents").select("doc_id", "source", group.alias("split_group")).withColumn("split", splits.pick_split(F.col("split_group"), SHARES))
 
 
 _ASSIGN = f"""
@@ -102,8 +107,7 @@ FROM (SELECT doc_id, coalesce(nullif(item_id, ''), sha256(text), 'doc:' || doc_i
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return split_assign(spark, sf_dir).join(docs, "doc_id").groupBy("source", "split").agg(F.count("*").alias("n"), F.countDistinct("split_group").alias("groups"))
+    return _split_rows(spark, sf_dir).groupBy("source", "split").agg(F.count("*").alias("n"), F.countDistinct("split_group").alias("groups"))
 
 
 def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,7 +84,7 @@ def composition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _COMPOSITION = f"""
 WITH {_LATEST} SELECT release_version, split, content_class, grouping(release_version, split, content_class) AS grouping, count(*) AS n,
-  count(*) FILTER (is_synthetic) AS flagged, round(count(*) FILTER (is_synthetic) / count(*)::DOUBLE, 6) AS share
+  count(*) FILTER (is_synthetic) AS flagged, round_even(count(*) FILTER (is_synthetic) / count(*)::DOUBLE, 6) AS share
 FROM latest GROUP BY GROUPING SETS ((release_version), (release_version, split), (release_version, content_class), ())"""
 
 
@@ -185,15 +185,15 @@ FROM (SELECT release_version, split, unnest(exported_assets) AS a FROM latest) G
 
 
 def asset_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Asset addresses in order, the first five of a page, with name and extension of the stored file."""
-    pages = table(spark, sf_dir, "seed_pages").select("page_id", F.posexplode(F.slice(F.coalesce("asset_urls", F.array()), 1, 5)).alias("at", "url"))
+    """Asset addresses of a page in order, with name and extension of the stored file."""
+    pages = table(spark, sf_dir, "seed_pages").select("page_id", F.posexplode(F.coalesce("asset_urls", F.array())).alias("at", "url"))
     name = F.format_string("asset_%02d", F.col("at") + 1)
     return pages.select("page_id", F.col("at").cast("long").alias("at"), "url", F.concat(name, F.lit("."), F.coalesce(F.nullif(tx.url_extension(F.col("url")), F.lit("")), F.lit("bin"))).alias("file"))
 
 
 _POSITIONS = r"""
 SELECT page_id, i - 1 AS at, asset_urls[i] AS url, printf('asset_%02d', i) || '.' || coalesce(nullif(lower(regexp_extract(asset_urls[i], '\.([A-Za-z0-9]{1,5})(?:[?#].*)?$', 1)), ''), 'bin') AS file
-FROM (SELECT page_id, asset_urls, unnest(range(1, least(coalesce(len(asset_urls), 0), 5) + 1)) AS i FROM seed_pages)"""
+FROM (SELECT page_id, asset_urls, unnest(range(1, coalesce(len(asset_urls), 0) + 1)) AS i FROM seed_pages)"""
 
 
 def public_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +205,7 @@ def public_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PUBLIC = r"""
 SELECT DISTINCT id, title, source_url, upstream_identifier, collection, period, raw_rights,
-  CASE WHEN NOT coalesce(regexp_matches(asset_path, '^(/|~|file:|[A-Za-z]:[\\/])|^(package|file)://'), false) THEN asset_path END AS asset_path,
+  CASE WHEN NOT coalesce(NOT regexp_matches(asset_path, '^(https?|package)://') AND regexp_matches(asset_path, '^(/|file://|\\\\|[A-Za-z]:[\\/])|\.work[/\\]'), false) THEN asset_path END AS asset_path,
   coalesce(NOT regexp_matches(regexp_replace(asset_path, '^package://', ''), '^\s*$|^[/~]|\\|^[A-Za-z]:|(^|/)\.\.?(/|$)|//|^\s|\s$|^[A-Za-z][A-Za-z0-9+.-]*://'), false) AS portable
 FROM records"""
 
@@ -324,7 +324,8 @@ def newest_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NATURAL = r"""
-SELECT release_version, array_to_string(list_transform(regexp_extract_all(lower(release_version), '(\d+|\D+)'), lambda p: CASE WHEN regexp_matches(p, '^\d') THEN lpad(p, 20, '0') ELSE p END), '') AS key
+SELECT release_version, array_to_string(list_transform(regexp_extract_all(lower(release_version), '(\d+|\D+)'), lambda p: CASE WHEN NOT regexp_matches(p, '^\d') THEN p
+  WHEN length(ltrim(p, '0')) <= 20 THEN lpad(ltrim(p, '0'), 20, '0') ELSE ':' || lpad(length(ltrim(p, '0'))::VARCHAR, 9, '0') || ltrim(p, '0') END), '') AS key
 FROM (SELECT DISTINCT release_version FROM exported_items)"""
 
 

@@ -37,14 +37,14 @@ UNION ALL SELECT release_version, item_id, is_synthetic FROM (
 
 
 def embedding_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors by the hash of their first 16 values cut to 4 levels, as counts of signatures by members."""
-    vectors = table(spark, sf_dir, "embeddings").select(selection.quantised_signature(F.slice("embedding", 1, 16), 4).alias("signature"))
+    """Vectors by the hash of their values cut to 16 levels, as counts of signatures by members."""
+    vectors = table(spark, sf_dir, "embeddings").select(selection.quantised_signature(F.col("embedding"), 16).alias("signature"))
     return dedupe.shared_keys(vectors, "signature", 1).groupBy("members").agg(F.count("*").alias("signatures"))
 
 
 _SIGNATURES = """
 SELECT members, count(*) AS signatures FROM (SELECT sha256(array_to_string(l, ',')) AS signature, count(*) AS members FROM (
-  SELECT list_transform(embedding[1:16], lambda x: least(3, greatest(0, floor((x::DOUBLE + 1) * 2)))::INT) AS l FROM embeddings)
+  SELECT list_transform(embedding, lambda x: least(15, greatest(0, floor((x::DOUBLE + 1) * 8)))::INT) AS l FROM embeddings)
   WHERE len(list_distinct(l)) > 1 GROUP BY 1) GROUP BY 1"""
 
 

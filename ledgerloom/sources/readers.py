@@ -7,14 +7,17 @@ checks that return violations, not by reading and failing half way.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from html.parser import HTMLParser
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.media import describe_image
+from ledgerloom.storage import materialize
 
 RECORD = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("id", "title", "source_url", "upstream_identifier", "collection", "period", "raw_rights", "asset_path")]
@@ -50,21 +53,72 @@ def text_records(spark: SparkSession, path: str, value_field: str = "text") -> D
     return raw.select(F.explode(listed).alias("i")).select("i.item_id", F.col(f"i.{value_field}").alias("text"))
 
 
-def html_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(path, title, description, rights, asset_urls) of catalogue pages with fixed markup."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+class _Page(HTMLParser):
+    """What a catalogue page says of its item, wherever an attribute stands; entities are undone by the parser."""
+
+    #: class of the marked element: (field, elements that may carry it)
+    MARKED = {"item-title": ("title", {"h1", "span", "div"}), "rights-label": ("rights", {"span", "div"}), "item-description": ("description", {"p", "div"})}
+    META = {("property", "og:title"): "title", ("name", "description"): "description"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.found: dict[str, str] = {}
+        self.assets: list[str] = []
+        self.open: list[tuple[str, str | None]] = []
+
+    def _take(self, field: str, value: str | None) -> None:
+        if value and value.strip():
+            self.found.setdefault(field, value.strip())
+
+    def handle_starttag(self, tag, attrs):
+        has = dict(attrs)
+        if tag == "meta":
+            for (attribute, name), field in self.META.items():
+                if has.get(attribute) == name:
+                    self._take(field, has.get("content"))
+        elif tag == "img":
+            if has.get("class") == "page-image" and has.get("src"):
+                self.assets.append(has["src"])
+        else:
+            field, elements = self.MARKED.get(has.get("class") or "", (None, ()))
+            self.open.append((tag, field if tag in elements else None))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in ("meta", "img"):
+            self.open.pop()
+
+    def handle_endtag(self, tag):
+        # an element that is never closed ends with the one around it
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                break
+
+    def handle_data(self, data):
+        for _, field in self.open:
+            if field:
+                self._take(field, data)
+
+
+def parse_page(html: str) -> tuple[str | None, str | None, str | None, list[str]]:
+    """(title, description, rights, asset addresses) of one page; meta elements come before marked ones, the first of each counts."""
+    page = _Page()
+    page.feed(html)
+    page.close()
+    return page.found.get("title"), page.found.get("description"), page.found.get("rights"), page.assets
+
+
+def _parse_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        found = pd.DataFrame([parse_page(h) for h in pdf["html"]], columns=["title", "description", "rights", "asset_urls"])
+        yield pd.concat([pdf[["path"]].reset_index(drop=True), found], axis=1)
 
-    def first(*patterns: str):
-        return F.coalesce(*[F.nullif(F.trim(F.regexp_extract("html", p, 1)), F.lit("")) for p in patterns])
 
-    meta = r"""(?is)<meta\s+(?:property|name)=["']{0}["']\s+content=["'](.*?)["']"""
-    return raw.select(
-        "path",
-        first(meta.format("og:title"), r"""(?is)class=["']item-title["'][^>]*>(.*?)<""", r"(?is)<title[^>]*>(.*?)</title>").alias("title"),
-        first(meta.format("(?:og:)?description")).alias("description"),
-        first(r"""(?is)class=["']rights-label["'][^>]*>(.*?)<""").alias("rights"),
-        F.regexp_extract_all("html", F.lit(r"""(?is)<img[^>]*class=["']page-image["'][^>]*src=["'](.*?)["']"""), F.lit(1)).alias("asset_urls"),
-    )
+def html_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(path, title, description, rights, asset_urls) of catalogue pages; what a page lacks is null; an empty file is no page."""
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+    return raw.mapInPandas(_parse_pages, "path string, title string, description string, rights string, asset_urls array<string>")
 
 
 def iiif_asset_urls(manifests: DataFrame, column: str, most: int = 5) -> DataFrame:
@@ -107,6 +161,19 @@ def yaml_rows(spark: SparkSession, path: str, field: str, schema: T.StructType)
     return spark.createDataFrame(rows, T.StructType([T.StructField("ord", T.IntegerType())] + schema.fields))
 
 
+def in_order(df: DataFrame, by: str, blocks: int = 64) -> DataFrame:
+    """``df`` with ``pos``, the place from 0 of each row by ``by``.
+
+    Rows are parted by ranges of ``by`` and stored, so that ranges stay what
+    they are; ranks run inside a range and the ranges' counts are added up.
+    """
+    parted = materialize(df.repartitionByRange(blocks, by).withColumn("__b", F.spark_partition_id()), "in-order")
+    counts = parted.groupBy("__b").agg(F.count("*").alias("n"))
+    offsets = counts.select("__b", (F.sum("n").over(Window.orderBy("__b")) - F.col("n")).alias("__offset"))  # one row a range
+    inside = F.row_number().over(Window.partitionBy("__b").orderBy(by)) - 1
+    return parted.withColumn("__at", inside).join(F.broadcast(offsets), "__b").withColumn("pos", (F.col("__at") + F.col("__offset")).cast("int")).drop("__b", "__at", "__offset")
+
+
 Adapter = Callable[[SparkSession, dict], DataFrame]
 _ADAPTERS: dict[str, Adapter] = {}
 
@@ -123,8 +190,6 @@ def adapter(name: str) -> Callable[[Adapter], Adapter]:
 
 def candidates(spark: SparkSession, sources: list[dict], most: int | None = None) -> DataFrame:
     """All sources' candidates in one frame; at most ``most`` of each source, in the source's order."""
-    from pyspark.sql import Window
-
     out = None
     for i, s in enumerate(sources):
         if s["fetcher"] not in _ADAPTERS:
@@ -144,10 +209,7 @@ def _records(spark: SparkSession, source: dict) -> DataFrame:
 
 @adapter("html_pages")
 def _html(spark: SparkSession, source: dict) -> DataFrame:
-    from pyspark.sql import Window
-
-    pages = html_pages(spark, source["path"])
-    return pages.withColumn("pos", F.row_number().over(Window.orderBy("path")) - 1)
+    return in_order(html_pages(spark, source["path"]), "path")
 
 
 def canonical_json(value) -> str:

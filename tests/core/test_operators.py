@@ -160,3 +160,32 @@ def test_stored_lookup_is_the_same_with_and_without_broadcast(spark):
         got = [sorted(map(str, skew.lookup_stored(left, right, "k", how, most).collect())) for most in (0, 1 << 20)]
         assert got[0] == got[1]
     assert skew.is_small(right.limit(0), 0) and not skew.is_small(right, 10)
+
+
+def test_local_paths_and_long_numbers(spark):
+    paths = {"package://x/.work/y": False, "https://a/.work/b": False, "file:///x": True, "\\\\host\\share": True, "C:\\x": True, "data/.work/x": True, "data\\.work\\x": True, "/x": True, "~/x": False, "data/x": False, "": False}
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select("p", tx.looks_local(F.col("p")).alias("l")).collect()
+    assert {r.p: r.l for r in got} == paths
+    names = ["v9", "v10", "v007", "v111111111111111111111", "v111111111111111111119", "v2" + "0" * 40, "v0"]
+    keys = spark.createDataFrame([(n,) for n in names], "n string").select("n", tx.natural_key(F.col("n")).alias("k")).orderBy("k").collect()
+    assert [r.n for r in keys] == sorted(names, key=lambda n: int(n[1:])) and len({r.k for r in keys}) == len(names)
+
+
+def test_as_of_join_over_buckets(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(8)
+    t = lambda: dt.datetime(2020, 1, 1) + dt.timedelta(days=rng.randrange(900))
+    facts = [(i, rng.choice(["hot", "hot", "a", "b", None]), t()) for i in range(200)]
+    states = {(rng.choice(["hot", "a", "c"]), t()): rng.choice([None, "x", "y", "z"]) for _ in range(60)}
+    f = spark.createDataFrame(facts, "id int, k string, at timestamp")
+    s = spark.createDataFrame([(k, at, v) for (k, at), v in states.items()], "k string, since timestamp, v string")
+
+    def brute(k, at):
+        known = [(since, v) for (key, since), v in states.items() if key == k and since <= at]
+        return max(known, key=lambda x: x[0])[1] if known else None
+
+    want = {i: brute(k, at) for i, k, at in facts}
+    for bucket in ("day", "month", "year"):
+        assert {r.id: r.v for r in joins.range_lookup(f, "k", "at", s, "since", ["v"], bucket).collect()} == want

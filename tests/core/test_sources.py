@@ -85,3 +85,18 @@ def test_yaml(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("open", T.BooleanType())])
     assert [tuple(r) for r in readers.yaml_rows(spark, str(tmp_path / "l.yaml"), "licenses", schema).collect()] == [(1, "A", True), (2, "B", None)]
     assert readers.canonical_json({"b": "é", "a": 1}) == '{\n  "a": 1,\n  "b": "\\u00e9"\n}\n'
+
+
+def test_pages_as_they_are_written(spark, tmp_path):
+    pages = {
+        "a": '<meta content="T &amp; &quot;x&quot;" lang="en" property="og:title"><div class="item-description"><b>About</b> it</div><div class=rights-label> Free </div><img src="b.jpg" alt="" class="page-image"><img class="page-image">',
+        "b": '<h1 class="item-title">One</h1><h1 class="item-title">Two</h1><p class="rights-label">no label</p><p>plain',
+        "c": "<p>",
+        "empty": "",
+    }
+    for name, body in pages.items():
+        (tmp_path / f"{name}.html").write_text(body)
+    got = {r.path[-6]: tuple(r)[1:] for r in readers.html_pages(spark, str(tmp_path)).collect()}
+    assert got == {"a": ('T & "x"', "About", "Free", ["b.jpg"]), "b": ("One", None, None, []), "c": (None, None, None, [])}
+    listed = readers.candidates(spark, [{"id": "s", "fetcher": "html_pages", "path": str(tmp_path)}])
+    assert [(r.pos, r.path[-6]) for r in listed.orderBy("pos").collect()] == [(0, "a"), (1, "b"), (2, "c")]
