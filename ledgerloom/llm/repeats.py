@@ -7,7 +7,9 @@ mix of what it stands for, so all tasks give equal runs and pairs one name
 without exchanging tables, and equal substrings get equal symbols but for a few
 at their two ends. Symbols that stand for ``SYMBOL`` characters or more take no
 further part. Sequences of final symbols that span ``KEY`` characters are the
-keys: a common substring of ``min_chars`` holds a whole common key.
+keys. Of any ``WINDOW`` keys in a row only the one of the smallest name is
+kept: a common substring of ``min_chars`` holds more keys in a row than that, so
+both texts keep the same one.
 
 Only keys found in two different texts go on. Texts that share a key are
 compared character by character along the diagonal the key gives; so names need
@@ -17,9 +19,9 @@ Keys in more than ``FEW`` texts would give too many pairs. Their occurrences are
 instead joined on fingerprints of all windows of ``min_chars`` that contain the
 key: those are exactly the pairs to report, whatever is shared besides.
 
-Runs that reach ``SYMBOL`` characters can be cut anywhere by the end of a common
-substring. Texts with such a run also give a fingerprint of every window, so
-what they share is found without keys.
+Runs that reach ``RUN`` characters can be cut anywhere by the end of a common
+substring. Every window that touches such a run gives a fingerprint too, so what
+texts share there is found without keys.
 
 Defined cases: null texts and texts shorter than ``min_chars`` share nothing; a
 text repeated under another id is wholly shared if long enough; repeated rows
@@ -36,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.skew import lookup_stored
 from ledgerloom.storage import materialize
 
-SYMBOL, KEY, ROUNDS, FEW = 20, 84, 26, 24
+SYMBOL, KEY, ROUNDS, FEW = 8, 84, 26, 24
+WINDOW, RUN = 12, 20
 #: ids of the texts to compare are broadcast up to this count, 8 bytes each; beyond it they are joined by a shuffle
 BROADCAST_IDS = 200_000
 CHUNK_CHARS = 1 << 20
@@ -59,7 +63,7 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def recompress(points: np.ndarray, ends: np.ndarray, symbol: int = SYMBOL, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def recompress(points: np.ndarray, ends: np.ndarray, symbol: int = SYMBOL, rounds: int = ROUNDS, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(names, starts, long run) of the final symbols of the texts that lie in ``points`` up to ``ends``."""
     names = _mix(points.astype(np.uint64) + _BASE)
     lens = np.ones(len(points), dtype=np.int32)
@@ -80,7 +84,7 @@ def recompress(points: np.ndarray, ends: np.ndarray, symbol: int = SYMBOL, round
                 last, lens, runs = last[final], lens[first] * count.astype(np.int32), runs[first]
                 names = names[first]
                 names[many] = _mix(names[many] + count[many].astype(np.uint64) * _BASE)
-                runs |= many & (lens >= symbol)
+                runs |= many & (lens >= run)
                 open_ = lens < symbol
         right = (_mix(names + np.uint64((2 * r + 1) * int(_M2) & _MASK)) >> np.uint64(63)).astype(bool)
         pair = np.zeros(len(names), dtype=bool)
@@ -116,6 +120,19 @@ def keys(names: np.ndarray, starts: np.ndarray, ends: np.ndarray, span: int = KE
     return key[whole], starts[whole], text[whole]
 
 
+def kept(key: np.ndarray, text: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Places of the keys that are the smallest of some ``window`` keys in a row of their text; all keys of a text with fewer."""
+    chosen = np.zeros(len(key), dtype=bool)
+    _, first, count = np.unique(text, return_index=True, return_counts=True)
+    for at, n in zip(first[count < window], count[count < window]):
+        chosen[at : at + n] = True
+    if len(key) >= window:
+        inside = np.flatnonzero(text[: len(key) - window + 1] == text[window - 1 :])
+        smallest = np.lib.stride_tricks.sliding_window_view(key, window).argmin(axis=1)
+        chosen[inside + smallest[inside]] = True
+    return np.flatnonzero(chosen)
+
+
 def windows(points: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit fingerprints of every window of ``size`` characters."""
     n = len(points) - size + 1
@@ -169,7 +186,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list
 
 
 def _emit_keys(min_chars: int):
-    """(key, id, pos): the keys of each text, even; fingerprints of whole windows, odd."""
+    """(key, id, pos): the kept keys of each text, even; fingerprints of the windows that touch a long run, odd."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         even, odd = np.uint64(_MASK - 1), np.uint64(1)
@@ -178,11 +195,19 @@ def _emit_keys(min_chars: int):
             ends = np.cumsum(lengths)
             names, starts, runs = recompress(np.concatenate(texts), ends)
             key, pos, text = keys(names, starts, ends)
-            owner = np.array(ids, dtype=np.int64)
-            parts = [(key & even, owner[text], pos - (ends - lengths)[text])]
-            for t in np.unique(np.searchsorted(ends, starts[runs], side="right")):
+            at = kept(key, text)
+            key, pos, text = key[at], pos[at], text[at]
+            owner, begins = np.array(ids, dtype=np.int64), ends - lengths
+            parts = [(key & even, owner[text], pos - begins[text])]
+            stops = np.append(starts[1:], ends[-1] if len(ends) else 0)
+            run_text = np.searchsorted(ends, starts[runs], side="right")
+            for t in np.unique(run_text):
                 every = windows(texts[t], min_chars)[0] | odd
-                parts.append((every, np.full(len(every), ids[t], dtype=np.int64), np.arange(len(every))))
+                touched = np.zeros(len(every), dtype=bool)
+                for low, high in zip(starts[runs][run_text == t] - begins[t], stops[runs][run_text == t] - begins[t]):
+                    touched[max(0, low - min_chars + 1) : high] = True
+                at = np.flatnonzero(touched)
+                parts.append((every[at], np.full(len(at), ids[t], dtype=np.int64), at))
             key, owner, pos = (np.concatenate(c) for c in zip(*parts))
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(owner), pa.array(pos.astype(np.int32))], ["key", "id", "pos"])
 
@@ -223,13 +248,13 @@ def text_classes(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
     """(id, rep) for the texts long enough: the smallest id with the same text stands for all."""
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.filter(F.col("id").isNotNull() & (F.length("text") >= min_chars))
-    hashed = rows.select("id", F.sha2("text", 256).alias("h"))
-    smallest = hashed.groupBy("h").agg(F.min("id").alias("rep"))
-    return hashed.join(smallest, "h").select("id", "rep").distinct()
+    hashed = rows.select("id", F.unhex(F.sha2("text", 256)).alias("h"))
+    copied = hashed.groupBy("h").agg(F.min("id").alias("rep"), F.max("id").alias("last")).filter("rep < last").select("h", "rep")
+    return lookup_stored(hashed, materialize(copied, "copied"), "h", "left").select("id", F.coalesce("rep", "id").alias("rep")).distinct()
 
 
-def _ids_semi_join(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "rep", "left_semi")
+def _ids_semi_join(texts: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
 
 def shared_spans(df: DataFrame, id_col: str, text_col: str, min_chars: int = 300) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -240,16 +265,23 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, min_chars: int = 300
     passages and of texts with long runs that stand in another text too.
     """
     classes = materialize(text_classes(df, id_col, text_col, min_chars), "classes")
+    copies = materialize(classes.filter("id <> rep"), "copies")
     texts = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter(F.col("id").isNotNull() & (F.length("text") >= min_chars))
-    found = materialize(texts.mapInArrow(_emit_keys(min_chars), "key long, id long, pos int"), "keys")
-    several = found.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("key")
-    # a class of equal texts is one text from here on
-    of_class = found.join(several, "key").join(classes, "id").select("key", "rep", "pos").distinct()
-    occurrences = materialize(of_class, "occurrences")
-    counts = occurrences.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    shared = materialize(occurrences.join(counts.select("key", "n"), "key"), "shared")
+    # a class of equal texts is one text: copies are left out where they lie, or else renamed once few keys are left
+    few_copies = copies.count() <= BROADCAST_IDS
+    own = texts.join(F.broadcast(copies.select("id")), "id", "left_anti") if few_copies else texts
+    found = materialize(own.mapInArrow(_emit_keys(min_chars), "key long, id long, pos int"), "keys")
+    several = found.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).filter("low < high")
+    if few_copies:
+        # two texts, each once a key: nothing to count again
+        shared = materialize(found.join(several.select("key", "n"), "key").withColumnRenamed("id", "rep"), "shared")
+    else:
+        renamed = found.join(several.select("key"), "key").join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
+        occurrences = materialize(renamed.select("key", "rep", "pos").distinct(), "occurrences")
+        counts = occurrences.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+        shared = materialize(occurrences.join(counts.select("key", "n"), "key"), "shared")
     involved = materialize(shared.select("rep").distinct(), "involved")
-    texts = materialize(_ids_semi_join(texts.withColumnRenamed("id", "rep"), involved).dropDuplicates(["rep"]), "texts")
+    texts = materialize(_ids_semi_join(texts.withColumnRenamed("id", "rep"), involved, "rep"), "texts")
 
     is_window = F.col("key").bitwiseAND(F.lit(1)) == 1
     at_windows = shared.filter(is_window)
@@ -279,7 +311,8 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, min_chars: int = 300
     candidates = near.unionByName(hot).groupBy("rep_a", "rep_b").agg(F.collect_set("d").alias("diagonals"))
     both = candidates.join(texts.select(F.col("rep").alias("rep_a"), F.col("text").alias("text_a")), "rep_a")
     both = both.join(texts.select(F.col("rep").alias("rep_b"), F.col("text").alias("text_b")), "rep_b")
-    spans = both.mapInPandas(_verify(min_chars), "rep_a long, rep_b long, start_a int, start_b int, length int")
+    # a repeated row gives its spans again
+    spans = both.mapInPandas(_verify(min_chars), "rep_a long, rep_b long, start_a int, start_b int, length int").distinct()
     frequent = wide.join(sets.select("h1", "h2"), ["h1", "h2"], "left_semi").select("rep", "pos").unionByName(at_windows.select("rep", "pos"))
     return classes, materialize(spans, "spans"), frequent
 

@@ -98,3 +98,49 @@ def test_equal_substrings_have_common_keys(seed):
         names, starts, _ = rp.recompress(np.concatenate([a, b]), ends)
         key, _, text = rp.keys(names, starts, ends)
         assert set(key[text == 0]) & set(key[text == 1])
+
+
+def test_a_long_text_with_one_run_gives_few_keys():
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    emit = rp._emit_keys(300)
+
+    def rows(text):
+        return sum(b.num_rows for b in emit(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["id", "text"])])))
+
+    plain = noise(rng, 100_000)
+    assert rows(plain) < 100_000 / 40
+    assert rows(plain[:50_000] + " " * 24 + plain[50_000:]) < rows(plain) + 400
+
+
+@pytest.mark.parametrize("run", [3, 7, 8, 12, 19, 20, 24, 60, 400])
+def test_runs_cut_by_the_ends(spark, run):
+    rng = random.Random(run)
+    texts = []
+    for n, mark in enumerate([" ", "-", "ab", "abcabcdf"]):
+        long = mark * (run // len(mark) + 1)
+        body = noise(rng, 300)
+        # what is shared ends inside the run, at either side or at both
+        texts += [(10 * n, "x" * 5 + noise(rng, 90) + long + body + long + noise(rng, 90))]
+        texts += [(10 * n + 1, noise(rng, 90) + "<" + long[run // 2 :] + body + ">" + noise(rng, 80))]
+        texts += [(10 * n + 2, noise(rng, 90) + "[" + body[20:] + long[: run // 2] + "]" + noise(rng, 80))]
+    check(spark, texts)
+
+
+def test_every_common_substring_keeps_a_key():
+    rng = random.Random(4)
+    for trial in range(400):
+        words = [noise(rng, rng.randrange(2, 9)) for _ in range(rng.choice([5, 40, 400]))]
+        text = lambda n: " ".join(rng.choice(words) for _ in range(n))[:n]
+        body = text(600)[:300]
+        pair = [text(rng.randrange(300)) + "☃" + body + "☄" + text(200), (body if trial % 3 == 0 else text(50) + "★" + body + "☆" + text(150))]
+        got = []
+        for t in pair:
+            p, ends = rp.code_points(t), np.array([len(t)])
+            names, starts, _ = rp.recompress(p, ends)
+            key, pos, owner = rp.keys(names, starts, ends)
+            at = rp.kept(key, owner)
+            first = t.index(body)
+            got.append({(int(k), int(x) - first) for k, x in zip(key[at], pos[at]) if 0 <= x - first <= 300 - rp.KEY})
+        assert got[0] & got[1], trial
