@@ -85,6 +85,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked(p7_aligned(spark, sf_dir))
 
 
+def p7_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark_items")
+    return leakage.edited(leakage.find(documents, items, "doc_id", "text", "eval_id", "text", leakage.EDITED_WORDS))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, spans, _ = repeats.shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
     return repeats.pairs(classes, spans)
@@ -96,5 +101,5 @@ def p8_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share.withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids, p7_found, p7_aligned, p8_found, p8_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids, p7_found, p7_aligned, p7_edited, p8_found, p8_shared)}
 ORACLES: dict[str, str] = {}

@@ -81,3 +81,45 @@ def test_found_is_exact(spark):
     assert any(s >= 20 and n < 12 for s, n in scores.values())
     assert lk.find(left.limit(0), right, "doc_id", "text", "eval_id", "text").count() == 0
     assert lk.find(left, right.limit(0), "doc_id", "text", "eval_id", "text").count() == 0
+
+
+def test_edited_copies_are_rated(spark):
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choice(VOCAB) for _ in range(rng.randrange(25, 60)))) for i in range(40)]
+    docs, planted = [], set()
+    for d in range(200):
+        w = [rng.choice(VOCAB) for _ in range(rng.randrange(10, 60))]
+        if d % 2:
+            e = rng.randrange(40)
+            # one word in six is replaced, dropped or doubled
+            part = [y for x in items[e][1].split() for y in (rng.choice([["new"], [], [x, "and"]]) if rng.random() < 1 / 6 else [x])]
+            w += part + [rng.choice(VOCAB) for _ in range(20)]
+            planted.add((d, e))
+        docs.append((d, " ".join(w)))
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "eval_id long, text string")
+    got = {(r.doc_id, r.eval_id): r.share for r in lk.edited(lk.find(left, right, "doc_id", "text", "eval_id", "text", lk.EDITED_WORDS)).collect()}
+    assert len(planted & set(got)) >= 0.9 * len(planted)
+    assert set(got) <= planted and all(0 < s <= 1 for s in got.values())
+
+
+def test_long_windows_in_pieces():
+    rng = np.random.default_rng(3)
+    item = rng.integers(0, 9, 12).astype(np.uint64)
+    doc = rng.integers(0, 9, 5000).astype(np.uint64)
+    doc[777:789], doc[3001:3012] = item, item[:11]
+    at = np.arange(0, 4988, 10)
+    parts = list(lk._windows(doc, item, at, np.zeros(len(at), dtype=np.int64)))
+    assert len(parts) > 10 and max(map(len, parts)) <= 4 * (3 * 12 + 2 * lk.MARGIN)
+    got = lk.smith_waterman(parts, [item] * len(parts))
+    whole = lk.smith_waterman([doc], [item])
+    assert (got[0].max(), got[1].max()) == (whole[0][0], whole[1][0]) == (24, 12)
+
+
+def test_a_seed_in_every_document(spark):
+    rng = random.Random(5)
+    hot = " ".join(rng.choice(VOCAB) for _ in range(14))
+    docs = [(i, hot + " " + " ".join(rng.choice(VOCAB) for _ in range(5))) for i in range(3000)]
+    left, right = spark.createDataFrame(docs, "doc_id long, text string").repartition(8), spark.createDataFrame([(1, hot)], "eval_id long, text string")
+    aligned = lk.find(left, right, "doc_id", "text", "eval_id", "text")
+    assert lk.leaked(aligned).count() == 3000
+    assert lk.bitmap_bits(0) == lk.LEAST_BITS and lk.bitmap_bits(10**12) == lk.MOST_BITS
