@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.skew import lookup
-from ledgerloom.storage import materialize
+from ledgerloom.storage import materialize, materialize_with
 
 #: bits of the reachable-sum bitset that are unpacked at a time
 SUM_BITS = 1 << 24
@@ -44,30 +44,32 @@ RANK_BLOCK = 50_000
 
 def star_edges(ties: DataFrame) -> DataFrame:
     """(a, b), a > b: each record of a key with the key's smallest record. ``ties`` has (key, id)."""
-    ties = materialize(ties.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).distinct(), "ties")
-    centres = ties.groupBy("key").agg(F.min("id").alias("b"))
-    return lookup(ties, centres, "key").filter(F.col("id") > F.col("b")).select(F.col("id").alias("a"), "b").distinct()
+    ties, seen = materialize_with(ties.filter(F.col("key").isNotNull() & F.col("id").isNotNull()).distinct(), "ties", n=F.count("*"))
+    centres = ties.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("__last")).filter("b < __last").drop("__last")
+    return lookup(ties, centres, "key", seen["n"]).filter(F.col("id") > F.col("b")).select(F.col("id").alias("a"), "b").distinct()
 
 
-def _flatten(parents: DataFrame) -> DataFrame:
-    """Shortcuts ``parents`` (v, p), every root pointing to itself, until p is a root."""
-    n = parents.count()
-    while True:
+def _flatten(parents: DataFrame, n: int) -> DataFrame:
+    """Shortcuts ``parents`` (v, p) of ``n`` rows, every root pointing to itself, until p is a root; two shortcuts a job."""
+    moved = 1
+    while moved:
         up = parents.select(F.col("v").alias("p"), F.col("p").alias("g"))
-        parents = materialize(lookup(parents, up, "p", n).select("v", F.col("g").alias("p"), (F.col("p") != F.col("g")).alias("moved")), "parents")
-        if parents.filter("moved").isEmpty():
-            return parents.select("v", "p")
-        parents = parents.select("v", "p")
+        once = lookup(parents, up, "p", n).select("v", F.col("g").alias("p"))
+        twice = lookup(once, up, "p", n).select("v", F.col("g").alias("p"), (F.col("p") != F.col("g")).alias("moved"))
+        parents, seen = materialize_with(twice, "parents", moved=F.count_if("moved"))
+        parents, moved = parents.select("v", "p"), seen["moved"]
+    return parents
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every vertex of ``edges`` (a, b); the root is the smallest id of the component."""
-    edges = materialize(edges, "edges")
+    edges, seen = materialize_with(edges, "edges", n=F.count("*"))
     labels = None
-    while n := edges.count():
+    while n := seen["n"]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooked = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("p")).select("v", F.least("v", "p").alias("p"))
-        roots = _flatten(materialize(hooked, "hooked"))
+        hooked, vertices = materialize_with(hooked, "hooked", n=F.count("*"))
+        roots = _flatten(hooked, vertices["n"])
         # vertices that earlier rounds merged follow their root, if it has one now
         if labels is None:
             labels = roots.select(F.col("v").alias("id"), F.col("p").alias("root"))
@@ -79,7 +81,7 @@ def components(edges: DataFrame) -> DataFrame:
             up = roots.select(F.col("v").alias(end), F.col("p").alias("__root"))
             edges = lookup(edges, up, end, n).select(F.col("__root").alias(end), other)
         edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        edges = materialize(edges, "edges")
+        edges, seen = materialize_with(edges, "edges", n=F.count("*"))
     return labels if labels is not None else edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
 
 
