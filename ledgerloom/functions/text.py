@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def strip(col: Column) -> Column:
@@ -108,3 +113,22 @@ def looks_local(col: Column) -> Column:
     public = col.rlike(r"^(https?|package)://")
     local = col.rlike(r"^(/|file://|\\\\|[A-Za-z]:[\\/])|\.work[/\\]")
     return F.coalesce(~public & local, F.lit(False))
+
+
+def casefold(col: Column) -> Column:
+    """Full case folding but for rare scripts: "ß" and "ss" are one, as are the two small sigmas."""
+    return F.replace(F.replace(F.lower(col), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+
+
+def holds_any(col: Column, markers: Sequence[str]) -> Column:
+    """Whether a text holds one of the markers, whatever the case."""
+    found = F.lit(False)
+    for m in markers:
+        found = found | F.lower(col).contains(m.lower())
+    return F.coalesce(found, F.lit(False))
+
+
+@F.pandas_udf(T.BooleanType())
+def is_nfc(text: pd.Series) -> pd.Series:
+    """Whether a text is in normal form C; null for null."""
+    return text.map(lambda t: None if t is None else unicodedata.is_normalized("NFC", t)).astype("boolean")

@@ -37,3 +37,9 @@ def nested_counts(df: DataFrame, outer: str, inner: str) -> DataFrame:
     """(outer, counts): a map of inner value to count, which holds no more entries than there are inner values."""
     per = df.filter(F.col(inner).isNotNull()).groupBy(outer, inner).agg(F.count("*").alias("n"))
     return per.groupBy(outer).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(inner, "n")))).alias("counts"))
+
+
+def flag_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """(name, n): rows that set each of the boolean columns, in one pass."""
+    counts = df.agg(*[F.count_if(F.col(f)).alias(f) for f in flags])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(f).alias("name"), F.col(f).alias("n")) for f in flags])).alias("c")).select("c.*")

@@ -48,3 +48,9 @@ def near_clusters(df: DataFrame, signature: str, fingerprint: str) -> DataFrame:
 def shared_keys(df: DataFrame, key: str, least: int = 2) -> DataFrame:
     """(key, members): keys that at least so many rows have."""
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("members")).filter(F.col("members") >= least)
+
+
+def item_signature(assets: Column) -> Column:
+    """The tuple of an item's asset hashes (structs <hash, preview_hash>), a preview's where the asset has none; null if any lacks both or there is none."""
+    each = F.transform(assets, lambda a: F.coalesce(a["hash"], a["preview_hash"]))
+    return F.when((F.size(each) > 0) & ~F.exists(each, lambda h: h.isNull()), F.array_join(each, "|"))

@@ -39,3 +39,16 @@ def incomplete_geometry(df: DataFrame, key: str, regions: str, reason: str = "in
 def uncovered(df: DataFrame, flags: str) -> DataFrame:
     """(name): keys of a map of booleans that no row sets."""
     return df.select(F.explode(flags).alias("name", "on")).groupBy("name").agg(F.bool_or(F.coalesce("on", F.lit(False))).alias("covered")).filter("NOT covered").select("name")
+
+
+def keep_members(df: DataFrame, key: str, column: str, field: str, known: DataFrame, known_key: str) -> DataFrame:
+    """``df`` with the structs of ``column`` whose ``field`` is among the known keys, in their order; a null list becomes an empty one.
+
+    ``key`` names rows once. Members are spread over rows for the join, so the
+    known keys may be any number.
+    """
+    spread = df.select(F.col(key), F.posexplode(column).alias("__at", "__m")).withColumn("__k", F.col(f"__m.{field}"))
+    kept = spread.join(known.select(F.col(known_key).alias("__k")).distinct(), "__k", "left_semi")
+    lists = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("__at", "__m"))).alias("__l"))
+    empty = F.array().cast(df.schema[column].dataType)
+    return df.join(lists, key, "left").withColumn(column, F.coalesce(F.transform("__l", lambda x: x["__m"]), empty)).drop("__l")

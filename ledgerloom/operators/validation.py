@@ -47,3 +47,24 @@ def checksum_status(expected: DataFrame, actual: DataFrame, key: str, digest: st
     a = actual.select(key, F.col(digest).alias("__a"))
     status = F.when(F.col("__a").isNull(), "missing").when(F.col("__e").isNull(), "unexpected").when(F.col("__e") == F.col("__a"), "ok").otherwise("mismatch")
     return e.join(a, key, "full_outer").select(key, status.alias("status"))
+
+
+def unequal(df: DataFrame, keys: Sequence[str], pairs: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """(keys, column): rows whose two sides of a named pair differ; null equals only null."""
+    names = F.array_compact(F.array(*[F.when(~a.eqNullSafe(b), F.lit(name)) for name, (a, b) in pairs.items()]))
+    return df.select(*keys, F.explode(names).alias("column"))
+
+
+def broken_links(links: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """(link, value): references of all the named links (child, column, parent, key) that lead nowhere, one row each."""
+    out = None
+    for name, (child, column, parent, key) in links.items():
+        part = missing_references(child.select(column), column, parent, key).select(F.lit(name).alias("link"), F.col(column).cast("string").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def bad_shares(shares: dict[str, float], places: int = 6) -> list[str]:
+    """What is wrong with the shares of splits: negative ones, and a sum that isn't 1."""
+    problems = [f"{name} is negative" for name, share in shares.items() if share < 0]
+    return problems + ([] if round(sum(shares.values()), places) == 1 else ["shares do not add up to 1"])
