@@ -33,3 +33,21 @@ def corpus_metrics(scored: DataFrame) -> DataFrame:
         F.bround(F.try_divide(F.count_if("exact"), n), 6).alias("exact_rate"),
         F.bround(F.try_divide(n, F.count("*")), 6).alias("coverage"),
     )
+
+
+def unexpected(records: DataFrame, examples: DataFrame, key: str = "item_id") -> DataFrame:
+    """(key): records of no example."""
+    return records.select(key).distinct().join(examples.select(key), key, "left_anti")
+
+
+def report(examples: DataFrame, predictions: DataFrame, references: DataFrame, key: str = "item_id") -> DataFrame:
+    """One row: the corpus metrics, what is beside the examples, and whether the result may be ranked.
+
+    It may if there are examples, all of them are scored, there is a rate, and
+    nothing is unexpected.
+    """
+    metrics = corpus_metrics(score_pairs(examples, predictions, references, key))
+    extra = unexpected(predictions, examples, key).agg(F.count("*").alias("unexpected_predictions")).crossJoin(unexpected(references, examples, key).agg(F.count("*").alias("unexpected_references")))
+    both = metrics.crossJoin(extra)  # one row each
+    ready = (F.col("examples") > 0) & (F.col("scored") == F.col("examples")) & F.col("error_rate").isNotNull() & (F.col("unexpected_predictions") + F.col("unexpected_references") == 0)
+    return both.withColumn("ready", ready)

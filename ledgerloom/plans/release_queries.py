@@ -295,6 +295,38 @@ def title_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.corpus_metrics(title_scores(spark, sf_dir))
 
 
+def _signs(df: DataFrame) -> DataFrame:
+    """Each foreign character as one sign, so that distances are the same in bytes and in characters."""
+    return df.withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", "?"))
+
+
+def sign_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    examples, p, r = _titles(spark, sf_dir)
+    return evaluation.score_pairs(examples, _signs(p), _signs(r))
+
+
+_SIGNS = r"""
+SELECT item_id, CASE WHEN p IS NULL THEN 'no_prediction' WHEN r IS NULL THEN 'no_reference' ELSE 'scored' END AS status,
+  levenshtein(p, r)::INT AS distance, CASE WHEN p IS NOT NULL THEN length(r)::INT END AS length, p = r AS exact
+FROM (SELECT item_id, regexp_replace(p, '[^\x00-\x7F]', '?', 'g') AS p, regexp_replace(r, '[^\x00-\x7F]', '?', 'g') AS r FROM {ends})"""
+
+
+def sign_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over seeds with a first title, so that some predictions and references are unexpected."""
+    examples, p, r = _titles(spark, sf_dir)
+    return evaluation.report(examples.join(p.filter("text <> ''").select("item_id"), "item_id", "left_semi"), _signs(p), _signs(r))
+
+
+_REPORT = """
+WITH e AS (SELECT * FROM ({signs}) s SEMI JOIN (SELECT item_id FROM {ends} WHERE p <> '') x USING (item_id)), n AS (SELECT item_id FROM e)
+SELECT count(*) AS examples, count(*) FILTER (status = 'scored') AS scored, count(*) FILTER (status = 'no_reference') AS missing_references,
+  round_even(sum(distance) / sum(length)::DOUBLE, 6) AS error_rate, round_even(count(*) FILTER (exact) / (count(*) FILTER (status = 'scored'))::DOUBLE, 6) AS exact_rate,
+  round_even(count(*) FILTER (status = 'scored') / count(*)::DOUBLE, 6) AS coverage,
+  (SELECT count(*) FROM {ends} WHERE p IS NOT NULL AND item_id NOT IN (FROM n)) AS unexpected_predictions, (SELECT count(*) FROM {ends} WHERE r IS NOT NULL AND item_id NOT IN (FROM n)) AS unexpected_references,
+  count(*) > 0 AND count(*) = count(*) FILTER (status = 'scored') AND sum(length) > 0
+    AND (SELECT count(*) FROM {ends} WHERE (p IS NOT NULL OR r IS NOT NULL) AND item_id NOT IN (FROM n)) = 0 AS ready FROM e"""
+
+
 def checksum_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of one id in two deliveries of a page: the first against the last by digest."""
     _, p, r = _titles(spark, sf_dir)
@@ -356,6 +388,8 @@ _PAIRS = [
     (rule_stats, _RULE_STATS),
     (title_scores, None),
     (title_metrics, None),
+    (sign_scores, _SIGNS.format(ends=_ENDS)),
+    (sign_report, _REPORT.format(ends=_ENDS, signs=_SIGNS.format(ends=_ENDS))),
     (checksum_status, _CHECKSUM),
     (lang_by_kind, _LANG),
     (newest_by_name, _NATURAL),

@@ -8,16 +8,21 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import os
 import tarfile
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.paths import is_portable
 from ledgerloom.operators.validation import checksum_status
 from ledgerloom.sources.readers import canonical_json, stored_files
+from ledgerloom.storage import materialize
 
 
 def write_data(df: DataFrame, path: str, split: str, rows_per_file: int = 5_000_000) -> None:
@@ -71,3 +76,71 @@ def archive(root: str, target: str, leave_out: Iterable[str] = ()) -> str:
         while chunk := f.read(io.DEFAULT_BUFFER_SIZE * 64):
             digest.update(chunk)
     return digest.hexdigest()
+
+
+def yaml_text(value) -> str:
+    """Text form of a small configuration: keys in their order, letters of all scripts as they are."""
+    import yaml
+
+    return yaml.safe_dump(value, sort_keys=False, allow_unicode=True)
+
+
+def _write_each(folder: str, name: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = Path(folder)
+        base.mkdir(parents=True, exist_ok=True)
+        for pdf in batches:
+            paths = []
+            for file, text in zip(pdf[name], pdf["__json"]):
+                draft = base / f".{file}.{uuid.uuid4().hex}"
+                draft.write_text(canonical_json(json.loads(text)), encoding="ascii")
+                os.replace(draft, base / f"{file}.json")
+                paths.append(f"{file}.json")
+            yield pd.DataFrame({"file": paths})
+
+    return run
+
+
+def write_each(df: DataFrame, name: str, folder: str) -> int:
+    """One canonical JSON file a row in a shared folder, named by column ``name``; written on the executors, again without harm. The number of files."""
+    safe = F.regexp_replace(F.col(name).cast("string"), "[^A-Za-z0-9._-]", "_")
+    rows = df.select(safe.alias(name), F.to_json(F.struct(*df.columns)).alias("__json"))
+    return rows.mapInPandas(_write_each(folder, name), "file string").distinct().count()
+
+
+def _copy(root: str, target: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for source, to in zip(pdf["source"], pdf["target"]):
+                source_file, file = Path(root) / source, Path(target) / to
+                if not source_file.is_file():
+                    out.append((to, None, None, "missing"))
+                    continue
+                file.parent.mkdir(parents=True, exist_ok=True)
+                draft, digest, size = file.with_name(f".{file.name}.{uuid.uuid4().hex}"), hashlib.sha256(), 0
+                with source_file.open("rb") as a, draft.open("wb") as b:
+                    while chunk := a.read(1 << 20):
+                        digest.update(chunk)
+                        size += b.write(chunk)
+                os.replace(draft, file)
+                out.append((to, size, digest.hexdigest(), None))
+            yield pd.DataFrame(out, columns=["path", "size", "sha256", "problem"]).astype({"size": "Int64"})
+
+    return run
+
+
+def copy_assets(assets: DataFrame, root: str, target: str, files_a_task: int = 2_000) -> DataFrame:
+    """(path, size, sha256, problem) of the assets (source, split, item_id, at) copied to ``data/<split>/<item>/page_<at>``.
+
+    Copied on the executors between shared folders, hashed on the way, each file
+    moved into its place when it is whole. Paths that aren't portable are not
+    followed.
+    """
+    ending = F.regexp_extract("source", r"(\.[A-Za-z0-9]+)$", 1)
+    name = F.concat_ws("/", F.lit("data"), F.coalesce("split", F.lit("none")), F.regexp_replace("item_id", "[^A-Za-z0-9._-]", "_"), F.concat(F.format_string("page_%d", F.col("at")), ending))
+    rows = assets.select("source", name.alias("target")).withColumn("ok", is_portable(F.col("source")))
+    parts = max(1, -(-assets.count() // files_a_task))
+    copied = rows.filter("ok").repartition(parts).mapInPandas(_copy(root, target), "path string, size long, sha256 string, problem string")
+    refused = rows.filter("NOT ok").select(F.col("target").alias("path"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("string").alias("sha256"), F.lit("not portable").alias("problem"))
+    return materialize(copied.unionByName(refused), "copied")
