@@ -102,4 +102,44 @@ def p8_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p3_found, p4_found, p4_scored, p5_found, p5_splits, p6_ids, p7_found, p7_aligned, p7_edited, p8_found, p8_shared)}
-ORACLES: dict[str, str] = {}
+
+_PLAIN = "trim(regexp_replace(translate(lower(regexp_replace({0}, '[\\x{{0300}}-\\x{{036F}}]', '', 'g')), 'áàâäãåāéèêëēíìîïīóòôöõøōúùûüūýÿñçšžčřßłđ', 'aaaaaaaeeeeeiiiiiooooooouuuuuyyncszcrsld'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ')"
+
+
+def _listed(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+#: ties by keys, and their transitive closure: for tables of a test's size
+_GROUPS = rf"""
+WITH RECURSIVE w AS (SELECT id, upper(trim(upstream_identifier, ' ')) AS t, {_PLAIN.format("upstream_identifier")} AS plain FROM records),
+c AS (SELECT id, {_PLAIN.format("collection")} AS whole,
+  {_PLAIN.format("replace(regexp_replace(regexp_replace(regexp_replace(collection, '\\s*\\([^()]*\\)[\\s.]*$', ''), '^[^:/]*:', ''), '/.*$', ''), '&', ' and ')")} AS own FROM records),
+d AS (SELECT source_item_id AS id, {_PLAIN.format("source_id")} AS plain FROM reference_manifest),
+ties AS MATERIALIZED (SELECT DISTINCT key, id FROM (
+  SELECT 'w:' || CASE WHEN regexp_matches(t, '^\s*(\p{{L}}+)[\s._-]*0*(\d+)') THEN regexp_extract(t, '^\s*(\p{{L}}+)[\s._-]*0*(\d+)', 1) || '-' || regexp_extract(t, '^\s*(\p{{L}}+)[\s._-]*0*(\d+)', 2)
+    WHEN plain NOT IN {_listed(grouped_splits.NO_WORK)} THEN plain END AS key, id FROM w
+  UNION ALL SELECT 'c:' || own, id FROM c WHERE whole NOT IN {_listed(grouped_splits.NO_COLLECTION)} AND own NOT IN {_listed(grouped_splits.NO_COLLECTION)}
+  UNION ALL SELECT 'd:' || plain, id FROM d WHERE plain NOT IN {_listed(grouped_splits.NO_WORK)} AND id IN (SELECT id FROM records)) WHERE key IS NOT NULL AND id IS NOT NULL),
+stars AS MATERIALIZED (SELECT DISTINCT t.id AS a, m.b FROM ties t JOIN (SELECT key, min(id) AS b FROM ties GROUP BY 1 HAVING min(id) < max(id)) m USING (key)),
+reached AS (SELECT a AS id, a AS g FROM stars UNION SELECT b, b FROM stars
+  UNION SELECT e.y, r.g FROM reached r JOIN (SELECT a AS x, b AS y FROM stars UNION SELECT b, a FROM stars) e ON e.x = r.id)
+SELECT id AS record_id, min(g) AS group_id FROM reached GROUP BY 1"""
+
+_WORDS = r"""
+SELECT {id} AS id, regexp_extract_all(replace(replace(lower(regexp_replace(regexp_replace(regexp_replace({text}, '</?[A-Za-z][^<>]*>|<!--(.|\n)*?-->', ' ', 'g'),
+  '&(#\d+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);', ' ', 'g'), '[\x{0591}-\x{05BD}\x{05BF}\x{05C1}\x{05C2}\x{05C4}\x{05C5}\x{05C7}]', '', 'g')), 'ß', 'ss'), 'ς', 'σ'), '[\p{L}\p{N}]+') AS w FROM {table} WHERE {text} IS NOT NULL"""
+_LEAKED = rf"""
+WITH d AS ({_WORDS.replace("{id}", "doc_id").replace("{text}", "text").replace("{table}", "documents")}),
+e AS ({_WORDS.replace("{id}", "eval_id").replace("{text}", "text").replace("{table}", "benchmark_items")}),
+dg AS (SELECT DISTINCT id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 10)) AS i FROM d)),
+eg AS (SELECT DISTINCT id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT id, w, unnest(range(1, len(w) - 10)) AS i FROM e))
+SELECT DISTINCT dg.id AS doc_id, eg.id AS eval_id FROM dg JOIN eg USING (g)"""
+
+#: every window of 300 characters: for tables of a test's size
+_SHARED = """
+WITH w AS (SELECT DISTINCT doc_id, md5(substring(text, i, 300)) AS h FROM (SELECT doc_id, text, unnest(range(1, length(text) - 298)) AS i FROM documents WHERE length(text) >= 300)),
+m AS (SELECT h FROM w GROUP BY 1 HAVING count(*) > 1), s AS MATERIALIZED (SELECT doc_id, h FROM w SEMI JOIN m USING (h))
+SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id"""
+
+ORACLES: dict[str, str] = {"p5_found": _GROUPS, "p7_found": _LEAKED, "p8_found": _SHARED}
