@@ -14,10 +14,11 @@ A value whose family is found but whose version is not on the list, and a value
 that gives no version of a family with several, match nothing: they are
 reported with the id of the "unknown" entry.
 
-Matching is a narrow step: rows are handled in Arrow batches where they lie.
-The list is held by each worker in shards of ``shard_entries`` entries, so its
-size has a bound; a longer list is run shard by shard (versions of one family together) and the longest mention
-over all shards wins.
+Matching is a narrow step: rows are handled in Arrow batches where they lie. A
+worker holds one shard of ``shard_entries`` entries at a time (versions of one
+family together). A longer list is run shard by shard over the distinct values,
+the longest mention over all shards wins, and rows look up their values, hot
+ones off the shuffle. A list of more than ``MOST_ENTRIES`` is refused.
 
 Defined cases: null and blank values give null (no case), as does a value that
 is an id, name or alias apart from case and surrounding white space; very long
@@ -38,7 +39,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.skew import lookup_stored
+from ledgerloom.storage import materialize
+
 SHARD_ENTRIES = 20_000
+#: entries that the driver reads: more are no curated list
+MOST_ENTRIES = 1_000_000
 LONG_WORD, CUT_TO = 7, 4
 
 _VERSION_AT_END = re.compile(r"[\s-]*(\d+(?:\.\d+)*)\s*$")
@@ -97,8 +103,19 @@ def _edits(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+MOST_EDITS = 3
+
+
 def _allowed(word: str) -> int:
-    return 0 if len(word) < 3 else 1 if len(word) < 5 else 2 if len(word) == 5 else 3
+    return 0 if len(word) < 3 else 1 if len(word) < 5 else 2 if len(word) == 5 else MOST_EDITS
+
+
+def _letters(word: str) -> int:
+    """The letters of a word as bits; some share one."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 127)
+    return bits
 
 
 class Matcher:
@@ -125,9 +142,13 @@ class Matcher:
         self.alone = {f[0]: family for f, family in forms.items() if len(f) == 1}
         self._near_cache: dict[str, tuple[tuple[str, int], ...]] = {}
         self.by_word: dict[str, list[int]] = defaultdict(list)
+        #: words by length, with the letters they have
+        self.by_length: dict[int, list[tuple[str, int]]] = defaultdict(list)
         for i, (form, _) in enumerate(self.forms):
             for w in set(form):
                 self.by_word[w].append(i)
+        for w in self.by_word:
+            self.by_length[len(w)].append((w, _letters(w)))
 
     @staticmethod
     def _variants(label: str) -> Iterator[tuple[str, ...]]:
@@ -198,7 +219,14 @@ class Matcher:
         if got is None:
             if len(self._near_cache) > 500_000:
                 self._near_cache.clear()
-            got = tuple((w, e) for w in self.by_word if abs(len(w) - len(token)) <= (m := _allowed(w)) and (e := _edits(token, w, m)) <= m)
+            near, own = [], _letters(token)
+            for n in range(max(1, len(token) - MOST_EDITS), len(token) + MOST_EDITS + 1):
+                for w, letters in self.by_length.get(n, ()):
+                    # one error changes two letters at most
+                    m = _allowed(w)
+                    if abs(n - len(token)) <= m and (own ^ letters).bit_count() <= 2 * m and (e := _edits(token, w, m)) <= m:
+                        near.append((w, e))
+            got = tuple(near)
             self._near_cache[token] = got
         return got
 
@@ -247,33 +275,52 @@ class Matcher:
         return best[0], self._entry(tokens, best) or self.unknown
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=1)
 def _matcher(entries: tuple[Entry, ...], unknown: str) -> Matcher:
     return Matcher(entries, unknown)
 
 
-def _shard_step(shards: list[tuple[Entry, ...]], unknown: str):
+def _one_shard(entries: tuple[Entry, ...], unknown: str):
+    """The rows that need mapping, with the entry."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matchers = [_matcher(s, unknown) for s in shards] or [_matcher((), unknown)]
+        resolve = functools.lru_cache(maxsize=200_000)(_matcher(entries, unknown).resolve)
+        for pdf in batches:
+            got = [resolve(v) if isinstance(v, str) else None for v in pdf["value"]]
+            pdf = pdf.drop(columns="value").assign(entry_id=[g[1] if g else None for g in got])
+            yield pdf[pdf["entry_id"].notna()]
+
+    return run
 
-        @functools.lru_cache(maxsize=200_000)
-        def one(value: str) -> str | None:
-            got = [m.resolve(value) for m in matchers]
-            if any(g is None for g in got):
-                return None
-            return max(enumerate(got), key=lambda g: (g[1][0], -g[0]))[1][1]
 
+def _shard_step(entries: tuple[Entry, ...], unknown: str, shard: int):
+    """(value, strength, shard, entry_id) by one shard; a value that needs no mapping has the strength -1."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = _matcher(entries, unknown)
         for pdf in batches:
-            ids = [one(v) if isinstance(v, str) else None for v in pdf["value"]]
-            pdf = pdf.drop(columns="value").assign(entry_id=ids)
-            yield pdf[pdf["entry_id"].notna()]
+            got = [matcher.resolve(v) or (-1, None) for v in pdf["value"]]
+            yield pd.DataFrame({"value": pdf["value"], "strength": [g[0] for g in got], "shard": shard, "entry_id": [g[1] for g in got]})
 
     return run
 
 
+def _by_shards(values: DataFrame, shards: Sequence[tuple[Entry, ...]], unknown: str) -> DataFrame:
+    """(value, entry_id) of the distinct values that need mapping: by the shard with the longest mention, the first of equal ones."""
+    distinct = materialize(values.distinct(), "values")
+    out = None
+    for i, s in enumerate(shards):
+        part = distinct.mapInPandas(_shard_step(s, unknown, i), "value string, strength int, shard int, entry_id string")
+        out = part if out is None else out.unionByName(part)
+    best = out.groupBy("value").agg(F.min("strength").alias("least"), F.max_by("entry_id", F.struct("strength", -F.col("shard"))).alias("entry_id"))
+    return materialize(best.filter("least >= 0").select("value", "entry_id"), "mapped")
+
+
 def read_entries(df: DataFrame, order: str, id_col: str, name_col: str, aliases_col: str) -> list[Entry]:
-    """The canonical list on the driver; it is a curated list, not data that grows with the rows."""
-    rows = df.orderBy(order).select(id_col, name_col, aliases_col).collect()
+    """The canonical list on the driver, at most ``MOST_ENTRIES`` entries."""
+    rows = df.orderBy(order).select(id_col, name_col, aliases_col).limit(MOST_ENTRIES + 1).collect()
+    if len(rows) > MOST_ENTRIES:
+        raise ValueError(f"a list of more than {MOST_ENTRIES} entries is not a canonical list")
     return [Entry(r[0], r[1], tuple(a for a in (r[2] or ()) if a)) for r in rows if r[0]]
 
 
@@ -292,7 +339,10 @@ def _shards(entries: Sequence[Entry], size: int) -> list[tuple[Entry, ...]]:
 
 def map_values(df: DataFrame, value_col: str, keep: Sequence[str], entries: Sequence[Entry], unknown: str, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
     """The rows of ``df`` whose value needs mapping, with ``entry_id``; ``keep`` columns are carried."""
-    shards = _shards(entries, shard_entries)
+    shards = _shards(entries, shard_entries) or [()]
     slim = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{value_col}`").alias("value")).filter(F.col("value").isNotNull())
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return slim.mapInPandas(_shard_step(shards, unknown), f"{fields}, entry_id string")
+    if len(shards) == 1:
+        return slim.mapInPandas(_one_shard(shards[0], unknown), f"{fields}, entry_id string")
+    mapped = _by_shards(slim.select("value"), shards, unknown)
+    return lookup_stored(slim, mapped, "value").select(*[F.col(f"`{c}`") for c in keep], "entry_id")
