@@ -94,11 +94,15 @@ MARKED = ("{{x}}", "${x}", "#{x}", "{% x y %}", "{%- x y %}", "<% x %>", "<%= x
 _PASSAGE = re.compile(r"\s+[|–—]\s+|[\r\n]+|(?<=[.!?…])\s+")
 _TOKEN = re.compile(r"\d+|[^\W\d_]+")
 _PLACE = "⟨placeholder⟩"
+#: every placeholder has one of these
+_MARK = re.compile(r"[{<\[@$%_]")
 _MARKS = re.compile(r"(?:[^\w\s]|_)+")
 
 
 def tokens(passage: str) -> list[str]:
     """Words in one case, every number as 9; a placeholder gives two words, of which the second names its marks."""
+    if not _MARK.search(passage):
+        return _words(passage)
     out: list[str] = []
     at = 0
     for m in PLACEHOLDERS.finditer(passage):
@@ -149,7 +153,7 @@ def _features(words: Sequence[str]) -> list[str]:
     return [*words, *(f"{a} {b}" for a, b in zip(words, words[1:])), f"^ {words[0]}", f"{words[-1]} $"]
 
 
-@dataclass
+@dataclass(frozen=True)
 class Model:
     """Log odds of features, of any other feature, and the prior."""
 
@@ -160,12 +164,18 @@ class Model:
     def score(self, words: Sequence[str]) -> float:
         return self.prior + sum(self.odds.get(f, self.other) for f in _features(words))
 
+    @functools.cached_property
+    def telling(self) -> frozenset[str]:
+        """The words of the features that speak for residue: a passage without any scores below the prior."""
+        return frozenset(w for f, o in self.odds.items() if o > 0 for w in f.split(" "))
+
     def best(self, words: list[str]) -> float:
         """The odds of the passage or of its best run of words, less what a part needs more.
 
-        Only a run at the passage's start or end has that end's feature.
+        Only a run at the passage's start or end has that end's feature. Below
+        the prior the number tells nothing and is minus infinity.
         """
-        if not words:
+        if self.telling.isdisjoint(words) and self.other <= 0:
             return -math.inf
         odds, other, last = self.odds, self.other, len(words) - 1
         top = run = -math.inf
