@@ -58,26 +58,50 @@ def verify(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
     return status.filter("status <> 'ok'")
 
 
-def archive(root: str, target: str, leave_out: Iterable[str] = ()) -> str:
-    """A tar of the tree with fixed order, owners and times; its digest depends on the contents alone."""
-    base, skip = Path(root), set(leave_out)
-    with tarfile.open(target, "w") as tar:
-        for file in sorted(p for p in base.rglob("*") if p.is_file()):
-            name = file.relative_to(base).as_posix()
-            if name in skip or file.resolve() == Path(target).resolve():
-                continue
-            info = tarfile.TarInfo(name)
-            info.size = file.stat().st_size
-            info.mode = 0o644
-            with file.open("rb") as f:
-                tar.addfile(info, f)
-    digest = hashlib.sha256()
-    with open(target, "rb") as f:
-        while chunk := f.read(io.DEFAULT_BUFFER_SIZE * 64):
-            digest.update(chunk)
+def archive(root: str, target: str, leave_out: Iterable[str] = (), below: str = "") -> str:
+    """A tar of the tree, or of what lies ``below``, with fixed order, owners and times; its digest depends on the contents alone."""
+    base, skip, digest = Path(root), set(leave_out), hashlib.sha256()
+    draft = Path(target).with_name(f".{Path(target).name}.{uuid.uuid4().hex}")
+    files = sorted(p for p in (base / below).rglob("*") if p.is_file() and p.resolve() not in (Path(target).resolve(), draft.resolve()))
+    with draft.open("wb") as raw:
+
+        class Both(io.RawIOBase):
+            """Hashes what it writes."""
+
+            def write(self, data):
+                digest.update(data)
+                return raw.write(data)
+
+        with tarfile.open(fileobj=Both(), mode="w|") as tar:
+            for file in files:
+                name = file.relative_to(base).as_posix()
+                if name in skip:
+                    continue
+                info = tarfile.TarInfo(name)
+                info.size = file.stat().st_size
+                info.mode = 0o644
+                with file.open("rb") as f:
+                    tar.addfile(info, f)
+    os.replace(draft, target)
     return digest.hexdigest()
 
 
+def _archive_part(root: str, target: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Path(target).mkdir(parents=True, exist_ok=True)
+        for pdf in batches:
+            names = [f"{part.replace('/', '_')}.tar" for part in pdf["part"]]
+            yield pd.DataFrame({"path": names, "sha256": [archive(root, f"{target}/{n}", below=p) for n, p in zip(names, pdf["part"])]})
+
+    return run
+
+
+def archives(spark: SparkSession, root: str, parts: Iterable[str], target: str) -> DataFrame:
+    """(path, sha256) of one tar for each named part of a tree in a shared folder; a task writes one part."""
+    rows = spark.createDataFrame([(p,) for p in parts], "part string")
+    return materialize(rows.repartition(max(1, rows.count()), "part").mapInPandas(_archive_part(root, target), "path string, sha256 string"), "archives")
+
+
 def yaml_text(value) -> str:
     """Text form of a small configuration: keys in their order, letters of all scripts as they are."""
     import yaml

@@ -1,3 +1,6 @@
+import hashlib
+import tarfile
+
 import pytest
 
 from ledgerloom.plans.stages import Stage, execute
@@ -43,3 +46,14 @@ def test_resume(spark, tmp_path):
     assert set(execute(spark, [step("one"), step("two")], str(tmp_path), inputs, until="one")) == {"items", "one"}
     with pytest.raises(ValueError):
         execute(spark, [step("one")], str(tmp_path), inputs, until="no")
+
+
+def test_archives_by_part(spark, tmp_path):
+    for name in ("data/train/a", "data/train/b", "data/test/c", "docs/d"):
+        (tmp_path / "tree" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "tree" / name).write_text(name)
+    got = {r.path: r.sha256 for r in release.archives(spark, str(tmp_path / "tree"), ["data/train", "data/test"], str(tmp_path / "out")).collect()}
+    assert set(got) == {"data_train.tar", "data_test.tar"}
+    assert all(hashlib.sha256((tmp_path / "out" / p).read_bytes()).hexdigest() == d for p, d in got.items())
+    with tarfile.open(tmp_path / "out/data_train.tar") as tar:
+        assert tar.getnames() == ["data/train/a", "data/train/b"]

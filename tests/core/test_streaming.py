@@ -37,3 +37,18 @@ def test_windows_and_first_deliveries(spark, tmp_path):
     q = upserts.windowed_counts(stream, "at", ["k"], "10 minutes", "1 hour").writeStream.format("memory").queryName("counts").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r.k, r.n) for r in spark.table("counts").collect()) == [("x", 2), ("y", 1)]
+
+
+def test_a_batch_rewrites_the_parts_it_touches(spark, tmp_path):
+    out, t = str(tmp_path / "out"), dt.datetime(2024, 1, 1)
+    sink = upserts.upsert_sink(spark, out, ["k"], "v", parts=8)
+    want = {}
+    for epoch in range(6):
+        rows = [(f"k{i}", epoch, t) for i in (range(200) if epoch == 0 else [epoch, 100 + epoch])] + [(None, epoch, t)]
+        sink(spark.createDataFrame(rows, "k string, v long, at timestamp"), epoch)
+        want |= {k: v for k, v, _ in rows}
+        assert {r.k: r.v for r in upserts.read_upserted(spark, out).collect()} == want
+    written = {e: len(list((tmp_path / f"out/b{e}").glob("__part=*"))) for e in (0, 5)}
+    assert written[0] >= 1 and 1 <= written[5] <= 3
+    # what only old batches name is gone
+    assert len(list((tmp_path / "out/_done").glob("0*"))) == upserts.KEPT_BATCHES
