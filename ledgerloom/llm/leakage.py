@@ -43,7 +43,7 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: words around a seed's reach that are aligned too
 MARGIN = 8
 #: bits of the bitmap for each passage n-gram, and its least and largest size
-BITS_A_GRAM, LEAST_BITS, MOST_BITS = 32, 1 << 16, 1 << 27
+BITS_A_GRAM, LEAST_BITS, MOST_BITS = 1024, 1 << 20, 1 << 27
 #: a query of edited copies takes as seed the rarest n-gram of so many words, and reports this score, that of 12 words with every sixth replaced
 EDITED_WORDS, EDITED_SCORE = 7, 18
 #: cells that are aligned at once
