@@ -184,7 +184,8 @@ def plain_words(col: Column) -> Column:
 
 
 def _unless(col: Column, nothing: Sequence[str]) -> Column:
-    return F.when(~col.isin(list(nothing)), col)
+    """``col``, or null if it is one of the values; ``col`` is computed once, which a condition on itself would not do."""
+    return F.get(F.filter(F.array(col), lambda x: ~x.isin(list(nothing))), F.lit(0))
 
 
 def work_key(col: Column) -> Column:
