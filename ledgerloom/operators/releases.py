@@ -84,3 +84,14 @@ def ordered(df: DataFrame, split: str, order: Sequence[str]) -> DataFrame:
     counts = ranked.groupBy("__s").agg(F.count("*").alias("__n"))
     offsets = counts.select("__s", (F.sum("__n").over(Window.orderBy("__s")) - F.col("__n")).alias("__o"))  # one row a split
     return ranked.join(F.broadcast(offsets), "__s").withColumn("place", F.col("__at") + F.col("__o")).drop("__s", "__at", "__o")
+
+
+def restrict(frames: dict[str, tuple[DataFrame, Sequence[str]]], ids: DataFrame, key: str) -> dict[str, DataFrame]:
+    """The named frames cut down to rows all of whose id columns are among ``ids``; null ids are not."""
+    known = ids.select(F.col(key).alias("__id")).distinct()
+    out = {}
+    for name, (df, columns) in frames.items():
+        for c in columns:
+            df = df.join(known, df[c] == known["__id"], "left_semi")
+        out[name] = df
+    return out

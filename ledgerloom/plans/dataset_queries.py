@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import paths
 from ledgerloom.functions import text as tx
-from ledgerloom.operators import aggregates, classify, dedupe, decisions, history, holdout, joins, nested, releases, rights, snapshots, splits, validation
+from ledgerloom.operators import aggregates, classify, dedupe, decisions, history, holdout, joins, nested, releases, rights, selection, snapshots, splits, validation
 from ledgerloom.plans import snapshot_queries
 from ledgerloom.plans.release_queries import _LATEST, _current
 from ledgerloom.storage import table
@@ -522,6 +522,30 @@ def required_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumn("state", F.lit("joined")).unionByName(misses.withColumn("state", F.lit("missing"))).groupBy("state").agg(F.count("*").alias("n"))
 
 
+def restricted_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of equal documents, copy and kept one, both of items of the newest release."""
+    from ledgerloom.plans.curation_queries import exact_dedupe_removed
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "item_id")
+    chosen = docs.join(_newest_items(spark, sf_dir).select("item_id"), "item_id", "left_semi")
+    pairs = exact_dedupe_removed(spark, sf_dir).select("doc_id", "canonical")
+    return releases.restrict({"pairs": (pairs, ["doc_id", "canonical"])}, chosen, "doc_id")["pairs"]
+
+
+def _restricted_sql() -> str:
+    from ledgerloom.plans.curation_queries import ORACLES as curation
+
+    return f"""
+WITH {_NEWEST}, chosen AS (SELECT doc_id FROM documents WHERE item_id IN (SELECT item_id FROM newest WHERE item_id IS NOT NULL))
+SELECT doc_id, canonical FROM ({curation['exact_dedupe_removed']}) WHERE doc_id IN (FROM chosen) AND canonical IN (FROM chosen)"""
+
+
+def template_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated candidates, one for each reference, that take the templates in turn."""
+    n = table(spark, sf_dir, "reference_manifest").count()
+    return selection.template_rows(spark, n, ["handwritten_note", "printed_letter", "ledger"])
+
+
 _PAIRS = [
     (record_classes, _CLASSES),
     (item_quality, _QUALITY),
@@ -556,6 +580,8 @@ _PAIRS = [
     (text_normal_forms, "SELECT nfc_normalize(text) = text AS nfc, count(*) AS n FROM documents GROUP BY 1"),
     (source_changes, _SOURCE_CHANGES),
     (item_lookup, _LOOKUP),
+    (template_listing, "SELECT 'synthetic-' || i AS source_item_id, CASE (i - 1) % 3 WHEN 0 THEN 'handwritten_note' WHEN 1 THEN 'printed_letter' ELSE 'ledger' END AS template_id FROM (SELECT unnest(range(1, (SELECT count(*) FROM reference_manifest) + 1)) AS i)"),
+    (restricted_relations, None),
     (required_items, "SELECT CASE WHEN item_id IN (SELECT item_id FROM exported_items WHERE item_id IS NOT NULL) THEN 'joined' ELSE 'missing' END AS state, count(*) AS n FROM rights_results WHERE item_id IS NOT NULL GROUP BY 1"),
 ]
 
@@ -567,4 +593,4 @@ def _reason_sql() -> str:
 
 
 QUERIES = {f.__name__: f for f, _ in _PAIRS}
-ORACLES = {f.__name__: sql or _reason_sql() for f, sql in _PAIRS}
+ORACLES = {f.__name__: sql for f, sql in _PAIRS if sql} | {"reason_counts": _reason_sql(), "restricted_relations": _restricted_sql()}

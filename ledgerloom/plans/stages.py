@@ -52,3 +52,20 @@ def execute(spark: SparkSession, stages: Sequence[Stage], folder: str, inputs: F
         if stage.name == until:
             break
     return frames
+
+
+def latest_run(spark: SparkSession, folder: str) -> str | None:
+    """The run folder whose name comes last, if there is any."""
+    names = _names(spark, folder)
+    return f"{folder}/{names[-1]}" if names else None
+
+
+def summary(spark: SparkSession, folder: str) -> DataFrame:
+    """(stage, frame, rows, finished, warning) of a run: rows come from file footers; a frame without any and a stage that broke off are warned of."""
+    rows = []
+    for stage in _names(spark, folder):
+        finished = _done(spark, f"{folder}/{stage}")
+        for name in _names(spark, f"{folder}/{stage}"):
+            n = spark.read.parquet(f"{folder}/{stage}/{name}").count() if finished else None
+            rows.append((stage, name, n, finished, None if n else "no rows" if finished else "not finished"))
+    return spark.createDataFrame(rows, "stage string, frame string, rows long, finished boolean, warning string")

@@ -164,7 +164,12 @@ def copy_assets(assets: DataFrame, root: str, target: str, files_a_task: int = 2
     ending = F.regexp_extract("source", r"(\.[A-Za-z0-9]+)$", 1)
     name = F.concat_ws("/", F.lit("data"), F.coalesce("split", F.lit("none")), F.regexp_replace("item_id", "[^A-Za-z0-9._-]", "_"), F.concat(F.format_string("page_%d", F.col("at")), ending))
     rows = assets.select("source", name.alias("target")).withColumn("ok", is_portable(F.col("source")))
-    parts = max(1, -(-assets.count() // files_a_task))
-    copied = rows.filter("ok").repartition(parts).mapInPandas(_copy(root, target), "path string, size long, sha256 string, problem string")
+    copied = copy_files(rows.filter("ok"), root, target, files_a_task)
     refused = rows.filter("NOT ok").select(F.col("target").alias("path"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("string").alias("sha256"), F.lit("not portable").alias("problem"))
-    return materialize(copied.unionByName(refused), "copied")
+    return copied.unionByName(refused)
+
+
+def copy_files(files: DataFrame, root: str, target: str, files_a_task: int = 2_000) -> DataFrame:
+    """(path, size, sha256, problem) of files (source, target) copied from below ``root`` to below ``target``, both shared folders."""
+    parts = max(1, -(-files.count() // files_a_task))
+    return materialize(files.select("source", "target").repartition(parts).mapInPandas(_copy(root, target), "path string, size long, sha256 string, problem string"), "copied")
