@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -64,3 +64,17 @@ def progress(items: DataFrame, decisions: DataFrame, key: str, group: str) -> Da
     marks = decisions.select(key).distinct().withColumn("__d", F.lit(True))
     done = F.count_if(F.coalesce("__d", F.lit(False)))
     return items.join(marks, key, "left").groupBy(group).agg(F.count("*").alias("total"), done.alias("decided"), (F.count("*") - done).alias("open"))
+
+
+def open_batch(batches: DataFrame, batch_id: str, at: str) -> DataFrame:
+    """``batches`` (batch_id, active, opened_at) with a new active one, all others closed; a batch of that id is opened again."""
+    others = batches.filter(F.col("batch_id") != batch_id).withColumn("active", F.lit(False))
+    new = batches.sparkSession.createDataFrame([(batch_id, True, at)], "batch_id string, active boolean, opened_at string")
+    return others.unionByName(new.select("batch_id", "active", F.col("opened_at").cast(batches.schema["opened_at"].dataType).alias("opened_at")))
+
+
+def items_of_active(batches: DataFrame, items: DataFrame, order: str) -> DataFrame:
+    """Items of the active batch, with ``place`` by ``order`` within the batch."""
+    active = F.broadcast(batches.filter("active").select("batch_id").limit(1))  # one row
+    mine = items.join(active, "batch_id", "left_semi")
+    return mine.withColumn("place", F.row_number().over(Window.partitionBy("batch_id").orderBy(order)) - 1)

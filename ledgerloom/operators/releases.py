@@ -95,3 +95,21 @@ def restrict(frames: dict[str, tuple[DataFrame, Sequence[str]]], ids: DataFrame,
             df = df.join(known, df[c] == known["__id"], "left_semi")
         out[name] = df
     return out
+
+
+def has_zone(col: Column) -> Column:
+    """Whether an ISO time says its zone."""
+    return F.coalesce(col.rlike(r"T.*(Z|[+-]\d\d:?\d\d)$"), F.lit(False))
+
+
+def expired(col: Column, today: Column) -> Column:
+    """Whether a day lies before today; one that isn't given never does."""
+    return F.coalesce(F.to_date(col) < F.to_date(today), F.lit(False))
+
+
+def against_targets(counts: DataFrame, targets: DataFrame, key: str, count: str = "n", target: str = "target") -> DataFrame:
+    """(key, count, target, gap, status): every target beside what there is; sources without rows count 0, those without target are left out."""
+    n = F.coalesce(F.col(count), F.lit(0))
+    joined = targets.select(key, target).join(counts.select(key, count), key, "left")
+    gap = F.greatest(F.lit(0), F.col(target) - n)
+    return joined.select(key, n.alias(count), F.col(target), gap.alias("gap"), F.when(n == 0, "missing").when(gap > 0, "short").otherwise("met").alias("status"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import fold, strip
+from ledgerloom.functions.text import fold, holds_any, strip
 from ledgerloom.operators.joins import first_match
 
 
@@ -31,3 +34,15 @@ def normalise(df: DataFrame, text: str, source: str, licences: DataFrame, strate
     chosen = F.when(how == "alias", F.col("__entry")).when(how == "unknown", F.col("__unknown")).otherwise(F.col("__own"))
     out = joined.join(fallback, F.lit(True), "left").withColumns({"__chosen": chosen, "matched_by": how, "raw_text_stripped": F.coalesce(strip(F.col(text)), F.lit(""))})
     return out.select(*df.columns, "raw_text_stripped", F.col("__chosen.id").alias("license_id"), F.col("__chosen.class").alias("license_class"), "matched_by")
+
+
+def statement_in(html: Column, phrases: Sequence[str]) -> Column:
+    """The first of the known rights phrases that a page holds, as it is written there; null if none."""
+    found = F.regexp_extract(html, "(?iu)(" + "|".join(re.escape(p) for p in phrases) + ")", 1)
+    return F.nullif(found, F.lit(""))
+
+
+def standard_form(text: Column, standard: str, markers: Sequence[str]) -> Column:
+    """The standard statement for texts that hold one of the markers, whatever the case; others stripped; null for blank ones."""
+    plain = F.nullif(strip(text), F.lit(""))
+    return F.when(holds_any(plain, markers), F.lit(standard)).otherwise(plain)

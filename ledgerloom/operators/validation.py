@@ -68,3 +68,18 @@ def bad_shares(shares: dict[str, float], places: int = 6) -> list[str]:
     """What is wrong with the shares of splits: negative ones, and a sum that isn't 1."""
     problems = [f"{name} is negative" for name, share in shares.items() if share < 0]
     return problems + ([] if round(sum(shares.values()), places) == 1 else ["shares do not add up to 1"])
+
+
+def unknown_rows(child: DataFrame, parent: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``child`` whose columns, taken together, ``parent`` has in no row; null equals null."""
+    known = parent.select(*[F.col(c).alias(f"__{c}") for c in columns]).distinct()
+    same = F.lit(True)
+    for c in columns:
+        same = same & child[c].eqNullSafe(known[f"__{c}"])
+    return child.join(known, same, "left_anti")
+
+
+def set_problems(expected: Sequence[str], actual: Sequence[str], exact: bool = True) -> list[str]:
+    """What is missing from a small set and, if it must be exact, what is too much."""
+    problems = [f"missing {x}" for x in expected if x not in set(actual)]
+    return problems + [f"unexpected {x}" for x in dict.fromkeys(actual) if exact and x not in set(expected)]

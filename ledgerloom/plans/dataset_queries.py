@@ -540,6 +540,43 @@ WITH {_NEWEST}, chosen AS (SELECT doc_id FROM documents WHERE item_id IN (SELECT
 SELECT doc_id, canonical FROM ({curation['exact_dedupe_removed']}) WHERE doc_id IN (FROM chosen) AND canonical IN (FROM chosen)"""
 
 
+def source_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the newest release of each source beside all that they ever had."""
+    counts = _newest_items(spark, sf_dir).groupBy("source_id").agg(F.count("*").alias("n"))
+    every = table(spark, sf_dir, "exported_items").filter("source_id IS NOT NULL").groupBy("source_id").agg(F.countDistinct("item_id").alias("target"))
+    return releases.against_targets(counts, every, "source_id")
+
+
+_TARGETS_MET = f"""
+WITH {_NEWEST}, c AS (SELECT source_id, count(*) AS n FROM newest GROUP BY 1), t AS (SELECT source_id, count(DISTINCT item_id) AS target FROM exported_items WHERE source_id IS NOT NULL GROUP BY 1)
+SELECT source_id, coalesce(n, 0) AS n, target, greatest(0, target - coalesce(n, 0)) AS gap, CASE WHEN coalesce(n, 0) = 0 THEN 'missing' WHEN target > n THEN 'short' ELSE 'met' END AS status FROM t LEFT JOIN c USING (source_id)"""
+
+
+def unlisted_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets of earlier releases that the newest one has in no item, by path and type."""
+    columns = ["release_asset_path", "media_type", "asset_format"]
+    spread = lambda df: df.select(F.explode("exported_assets").alias("a")).select(*[F.col(f"a.{c}").alias(c) for c in columns])
+    every, newest = spread(table(spark, sf_dir, "exported_items")).distinct(), spread(_newest_items(spark, sf_dir))
+    return validation.unknown_rows(every, newest, columns).groupBy("asset_format").agg(F.count("*").alias("n"))
+
+
+_UNLISTED = f"""
+WITH {_NEWEST}, e AS (SELECT DISTINCT a.release_asset_path, a.media_type, a.asset_format FROM (SELECT unnest(exported_assets) AS a FROM exported_items)),
+n AS (SELECT DISTINCT a.release_asset_path, a.media_type, a.asset_format FROM (SELECT unnest(exported_assets) AS a FROM newest))
+SELECT asset_format, count(*) AS n FROM (FROM e EXCEPT FROM n) GROUP BY 1"""
+
+
+def page_rights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured pages by the standard form of their rights statement."""
+    pages = table(spark, sf_dir, "seed_pages").select(rights.standard_form(F.col("rights"), "Any use permitted", ["any use", "any purpose", "כל שימוש"]).alias("statement"))
+    return pages.groupBy("statement").agg(F.count("*").alias("n"))
+
+
+_STATEMENTS = r"""
+SELECT CASE WHEN regexp_matches(lower(s), 'any use|any purpose|כל שימוש') THEN 'Any use permitted' ELSE s END AS statement, count(*) AS n
+FROM (SELECT nullif(regexp_replace(rights, '^[\s\x{00A0}\x{2000}-\x{200A}\x{3000}]+|[\s\x{00A0}\x{2000}-\x{200A}\x{3000}]+$', '', 'g'), '') AS s FROM seed_pages) GROUP BY 1"""
+
+
 def template_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated candidates, one for each reference, that take the templates in turn."""
     n = table(spark, sf_dir, "reference_manifest").count()
@@ -581,6 +618,9 @@ _PAIRS = [
     (source_changes, _SOURCE_CHANGES),
     (item_lookup, _LOOKUP),
     (template_listing, "SELECT 'synthetic-' || i AS source_item_id, CASE (i - 1) % 3 WHEN 0 THEN 'handwritten_note' WHEN 1 THEN 'printed_letter' ELSE 'ledger' END AS template_id FROM (SELECT unnest(range(1, (SELECT count(*) FROM reference_manifest) + 1)) AS i)"),
+    (source_targets, _TARGETS_MET),
+    (unlisted_assets, _UNLISTED),
+    (page_rights, _STATEMENTS),
     (restricted_relations, None),
     (required_items, "SELECT CASE WHEN item_id IN (SELECT item_id FROM exported_items WHERE item_id IS NOT NULL) THEN 'joined' ELSE 'missing' END AS state, count(*) AS n FROM rights_results WHERE item_id IS NOT NULL GROUP BY 1"),
 ]

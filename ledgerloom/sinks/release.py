@@ -44,6 +44,33 @@ def publish(path: str, payload: dict) -> None:
     os.replace(draft, target)
 
 
+def publish_all(payloads: dict[str, dict]) -> None:
+    """Several small reports: all are written beside their places before any is moved into it."""
+    drafts = []
+    try:
+        for path, payload in payloads.items():
+            target = Path(path)
+            target.parent.mkdir(parents=True, exist_ok=True)
+            draft = target.with_name(f".{target.name}.{uuid.uuid4().hex}")
+            drafts.append((draft, target))
+            draft.write_text(canonical_json(payload), encoding="ascii")
+        for draft, target in drafts:
+            os.replace(draft, target)
+    finally:
+        for draft, _ in drafts:
+            draft.unlink(missing_ok=True)
+
+
+def write_release(spark: SparkSession, root: str, data: DataFrame, split: str, manifests: dict[str, DataFrame], reports: dict[str, dict]) -> DataFrame:
+    """A whole release tree: data by split, manifests, reports, and the checksums of all of it, which are returned."""
+    write_data(data, f"{root}/data", split)
+    write_manifests(manifests, f"{root}/manifests")
+    publish_all({f"{root}/docs/{name}.json": payload for name, payload in reports.items()})
+    sums = materialize(checksum_manifest(spark, root), "checksums")
+    sums.coalesce(1).write.mode("errorifexists").json(f"{root}/checksums")
+    return sums
+
+
 def checksum_manifest(spark: SparkSession, root: str) -> DataFrame:
     """(path, category, size, sha256) of every file of a release tree; hashed on the executors."""
     path = F.col("path")

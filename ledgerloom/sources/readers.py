@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,6 +132,15 @@ def iiif_asset_urls(manifests: DataFrame, column: str, most: int = 5) -> DataFra
     return manifests.withColumn("asset_urls", F.slice(urls, 1, most))
 
 
+def iiif_metadata(column: str, label: str) -> Column:
+    """The value under a label of a IIIF manifest's metadata, the first of several; null if it is no text."""
+    raw = F.from_json(column, "struct<metadata: array<struct<label: string, value: string>>>")["metadata"]
+    value = F.get(F.filter(raw, lambda m: m["label"] == label), F.lit(0))["value"]
+    # a list comes as its JSON text
+    listed = F.get(F.from_json(value, "array<string>"), F.lit(0))
+    return F.when(F.startswith(F.ltrim(value), F.lit("[")), listed).when(~F.startswith(F.ltrim(value), F.lit("{")), value)
+
+
 def checksum_list(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256) from lines of 64 hex digits, two blanks and a path."""
     lines = spark.read.text(path)

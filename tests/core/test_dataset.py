@@ -144,3 +144,28 @@ def test_text(spark):
     assert one(spark, tx.casefold(F.col("v")), "STRAßE ΣΑΣ") == "strasse σασ"
     assert one(spark, tx.holds_any(F.col("v"), ["CAPTCHA"]), "a captcha") is True and one(spark, tx.holds_any(F.col("v"), ["x"]), None) is False
     assert [one(spark, tx.is_nfc(F.col("v")), t) for t in ("é", "e\u0301", "", None)] == [True, False, True, None]
+
+
+def test_targets_batches_and_sets(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 9), ("z", 1)], "s string, n long")
+    targets = spark.createDataFrame([("a", 5), ("b", 5), ("c", 5)], "s string, target long")
+    assert {r.s: (r.n, r.gap, r.status) for r in releases.against_targets(counts, targets, "s").collect()} == {"a": (3, 2, "short"), "b": (9, 0, "met"), "c": (0, 5, "missing")}
+    batches = spark.createDataFrame([("x", True, "2024-01-01"), ("y", False, None)], "batch_id string, active boolean, opened_at string")
+    opened = decisions.open_batch(decisions.open_batch(batches, "z", "2024-02-01"), "y", "2024-03-01")
+    assert {r.batch_id: r.active for r in opened.collect()} == {"x": False, "y": True, "z": False}
+    items = spark.createDataFrame([("y", "b"), ("x", "a"), ("y", "a")], "batch_id string, id string")
+    assert sorted((r.id, r.place) for r in decisions.items_of_active(opened, items, "id").collect()) == [("a", 0), ("b", 1)]
+    left, right = spark.createDataFrame([(1, None), (1, "a"), (None, None)], "x int, y string"), spark.createDataFrame([(1, None), (1, None)], "x int, y string")
+    assert sorted((tuple(r) for r in validation.unknown_rows(left, right, ["x", "y"]).collect()), key=str) == [(1, "a"), (None, None)]
+    assert validation.set_problems(["a", "b"], ["b", "c", "c"]) == ["missing a", "unexpected c"] and validation.set_problems(["a"], ["a", "b"], exact=False) == []
+    assert [one(spark, releases.has_zone(F.col("v")), v) for v in ("2024-01-01T00:00:00Z", "2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00", "2024-01-01", None)] == [True, True, False, False, False]
+    assert [one(spark, releases.expired(F.col("v"), F.lit("2024-06-01")), v) for v in ("2024-05-31", "2024-06-01", None)] == [True, False, False]
+    df = spark.createDataFrame([(1, "a", "b"), (2, "a", None), (3, "x", "a")], "i int, p string, q string")
+    got = releases.restrict({"d": (df, ["p", "q"]), "e": (df, ["p"])}, spark.createDataFrame([("a",), ("b",), (None,)], "k string"), "k")
+    assert [sorted(r.i for r in got[n].collect()) for n in "de"] == [[1], [1, 2]]
+
+
+def test_rights_texts(spark):
+    phrases = ["Any Use Permitted", "Copyright"]
+    assert [one(spark, rights.statement_in(F.col("v"), phrases), v) for v in ("<b>any use permitted</b> copyright", "COPYRIGHT", "none", None)] == ["any use permitted", "COPYRIGHT", None, None]
+    assert [one(spark, rights.standard_form(F.col("v"), "Free", ["public domain"]), v) for v in (" In the Public Domain ", " mine ", " ", None)] == ["Free", "mine", None, None]

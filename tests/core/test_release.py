@@ -57,3 +57,14 @@ def test_archives_by_part(spark, tmp_path):
     assert all(hashlib.sha256((tmp_path / "out" / p).read_bytes()).hexdigest() == d for p, d in got.items())
     with tarfile.open(tmp_path / "out/data_train.tar") as tar:
         assert tar.getnames() == ["data/train/a", "data/train/b"]
+
+
+def test_a_whole_release(spark, tmp_path):
+    root = str(tmp_path / "rel")
+    df = spark.createDataFrame([("a", "train"), ("b", "test")], "id string, split string")
+    sums = release.write_release(spark, root, df, "split", {"items": df}, {"card": {"n": 2}, "notes": {}})
+    assert {r.category for r in sums.collect()} == {"data", "manifest", "document"}
+    assert release.verify(spark, root, sums).filter("path NOT LIKE 'checksums/%'").count() == 0
+    with pytest.raises(TypeError):
+        release.publish_all({f"{root}/docs/new.json": {}, f"{root}/docs/bad.json": {"x": object()}})
+    assert sorted(p.name for p in (tmp_path / "rel/docs").iterdir() if not p.name.endswith(".crc")) == ["card.json", "notes.json"]

@@ -100,3 +100,9 @@ def test_pages_as_they_are_written(spark, tmp_path):
     assert got == {"a": ('T & "x"', "About", "Free", ["b.jpg"]), "b": ("One", None, None, []), "c": (None, None, None, [])}
     listed = readers.candidates(spark, [{"id": "s", "fetcher": "html_pages", "path": str(tmp_path)}])
     assert [(r.pos, r.path[-6]) for r in listed.orderBy("pos").collect()] == [(0, "a"), (1, "b"), (2, "c")]
+
+
+def test_iiif_metadata(spark):
+    cases = [('{"metadata":[{"label":"x","value":"1"},{"label":"Rights","value":"Free"}]}', "Free"), ('{"metadata":[{"label":"Rights","value":["a","b"]}]}', "a"), ('{"metadata":[{"label":"Rights","value":{"a":1}}]}', None), ('{"metadata":[]}', None), ("{}", None), (None, None)]
+    df = spark.createDataFrame([(c,) for c, _ in cases], "m string")
+    assert [r.v for r in df.select(readers.iiif_metadata("m", "Rights").alias("v")).collect()] == [w for _, w in cases]
