@@ -46,6 +46,8 @@ WINDOW, RUN = 12, 20
 #: ids of the texts to compare are broadcast up to this count, 8 bytes each; beyond it they are joined by a shuffle
 BROADCAST_IDS = 200_000
 CHUNK_CHARS = 1 << 20
+#: records of a class whose pairs are too many for one task, and the tasks they are given to
+BIG_CLASS, SALTS = 500, 32
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE, _MASK = np.uint64(0x9E3779B97F4A7C15), (1 << 64) - 1
@@ -317,13 +319,22 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, min_chars: int = 300
     return classes, materialize(spans, "spans"), frequent
 
 
-def pairs(classes: DataFrame, spans: DataFrame) -> DataFrame:
-    """(doc_a, doc_b): all pairs of records that share a span, copies included."""
-    linked = spans.select("rep_a", "rep_b").distinct()
-    a = classes.select(F.col("id").alias("id_a"), F.col("rep").alias("rep_a"))
-    b = classes.select(F.col("id").alias("id_b"), F.col("rep").alias("rep_b"))
-    across = linked.join(a, "rep_a").join(b, "rep_b").select("id_a", "id_b")
-    inside = a.join(b, F.col("rep_a") == F.col("rep_b")).filter("id_a < id_b").select("id_a", "id_b")
+def pairs(classes: DataFrame, spans: DataFrame, big: int = BIG_CLASS, salts: int = SALTS) -> DataFrame:
+    """(doc_a, doc_b): all pairs of records that share a span, copies included.
+
+    The pairs of a class of more than ``big`` records are made by ``salts``
+    tasks, each of which meets all records of the class with a part of them.
+    """
+    sizes = materialize(classes.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    width = F.when(F.col("n") > big, F.lit(salts)).otherwise(F.lit(1))
+    sized = lookup_stored(classes, sizes, "rep", "left").withColumn("width", width)
+    part = lambda id_col, w: F.pmod(F.xxhash64(id_col), w).cast("int")
+    b = sized.select(F.col("id").alias("id_b"), F.col("rep").alias("rep_b"), F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("salt"))
+    a = sized.filter("n > 1").select(F.col("id").alias("id_a"), F.col("rep").alias("rep_b"), part("id", F.col("width")).alias("salt"))
+    inside = a.join(b, ["rep_b", "salt"]).filter("id_a < id_b").select("id_a", "id_b")
+    linked = lookup_stored(spans.select("rep_a", F.col("rep_b").alias("rep")).distinct(), sizes, "rep", "left").select("rep_a", F.col("rep").alias("rep_b"), width.alias("width"))
+    firsts = classes.select(F.col("id").alias("id_a"), F.col("rep").alias("rep_a"))
+    across = linked.join(firsts, "rep_a").withColumn("salt", part("id_a", F.col("width"))).join(b, ["rep_b", "salt"]).select("id_a", "id_b")
     every = across.unionByName(inside)
     return every.select(F.least("id_a", "id_b").alias("doc_a"), F.greatest("id_a", "id_b").alias("doc_b")).distinct()
 

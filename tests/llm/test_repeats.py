@@ -144,3 +144,15 @@ def test_every_common_substring_keeps_a_key():
             first = t.index(body)
             got.append({(int(k), int(x) - first) for k, x in zip(key[at], pos[at]) if 0 <= x - first <= 300 - rp.KEY})
         assert got[0] & got[1], trial
+
+
+def test_pairs_of_big_classes_are_the_same(spark):
+    rng = random.Random(6)
+    shared = noise(rng, 320)
+    texts = [(i, "copy " + shared) for i in range(9)] + [(20 + i, "other " + shared + " end") for i in range(7)] + [(40, shared + noise(rng, 50)), (41, noise(rng, 400)), (42, noise(rng, 30))]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    classes, spans, _ = rp.shared_spans(df, "doc_id", "text", 300)
+    want, _ = brute(texts, 300)
+    for big, salts in ((500, 32), (3, 4), (1, 7)):
+        got = [(r.doc_a, r.doc_b) for r in rp.pairs(classes, spans, big, salts).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
