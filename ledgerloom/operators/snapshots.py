@@ -11,8 +11,9 @@ of columns an ordinal-aligned vector of value digests shows which changed.
 
 Shuffles: one on (key, snapshot) after a map-side reduction to the latest row,
 so a key repeated in a third of the rows is reduced before it moves; one on the
-key to meet the ordinals; one on the containers of 2^16 ordinals, of which a
-task holds as many as ``rows_per_block`` rows make, and one at least.
+key to meet the ordinals, if there are any yet; one on the block; one on the
+containers of 2^16 ordinals, of which a task holds as many as ``rows_per_block``
+rows make, and one at least.
 
 Defined cases: a null key or null snapshot name is an ordinary value equal only
 to null; a snapshot that holds a key more than once counts the row with the
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import bitmaps
-from ledgerloom.storage import materialize, shared_dir
+from ledgerloom.storage import materialize, run_dir
 
 ROWS_PER_BLOCK = 40_000
 #: blocks of a table of ordinals, fixed for its life
@@ -101,7 +102,7 @@ def latest_rows(df: DataFrame, key: str, snapshot: str, arrived_at: str, groups:
 
 
 def assign_ordinals(rows: DataFrame, blocks: int = BLOCKS, known: DataFrame | None = None) -> DataFrame:
-    """Adds ``block`` and ``position``: the ordinal of ``key``, behind those of ``known`` (key, block, position).
+    """Adds ``first``, ``block`` and ``position``: the key's first rank and its ordinal, behind those of ``known`` (key, block, position).
 
     ``rows`` has ``key``, none of them in ``known``, and ``rank`` (the
     snapshot's rank). Both windows run on the block's partitioning, so this
@@ -110,39 +111,40 @@ def assign_ordinals(rows: DataFrame, blocks: int = BLOCKS, known: DataFrame | No
     block = F.pmod(F.xxhash64(F.col("key")), F.lit(blocks)).cast("int")
     first = F.min("rank").over(Window.partitionBy("block", "key"))
     position = F.dense_rank().over(Window.partitionBy("block").orderBy("first", F.col("key").asc_nulls_first())) - 1
-    placed = rows.withColumn("block", block).repartition("block").withColumn("first", first).withColumn("position", position.cast("long")).drop("first")
+    placed = rows.withColumn("block", block).repartition("block").withColumn("first", first).withColumn("position", position.cast("long"))
     if known is None:
         return placed
     used = F.broadcast(known.groupBy("block").agg((F.max("position") + 1).alias("__used")))  # one row a block
     return placed.join(used, "block", "left").withColumn("position", F.col("position") + F.coalesce("__used", F.lit(0))).drop("__used")
 
 
-def stored_ordinals(spark: SparkSession, path: str, key_type: str) -> DataFrame:
-    """The table of ordinals (key, block, position) at ``path``; an empty one if there is none yet."""
-    schema = f"key {key_type}, block int, position long"
+def stored_ordinals(spark: SparkSession, path: str, key_type: str) -> DataFrame | None:
+    """The table of ordinals (key, block, position) at ``path``, if there is one yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(f"key {key_type}, block int, position long").parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
 
 
-def _same_key(a: DataFrame, b: DataFrame) -> Column:
-    return a["key"].eqNullSafe(b["__key"])
-
-
-def update_ordinals(rows: DataFrame, path: str, blocks: int = BLOCKS) -> DataFrame:
-    """The table at ``path`` after the keys of ``rows`` (key, rank) that it lacks are appended.
+def place(rows: DataFrame, path: str, blocks: int = BLOCKS) -> DataFrame:
+    """``rows`` (key, rank and others; a key and rank once) with ``block`` and ``position``; keys that the table at ``path`` lacks are appended to it.
 
     One writer at a time; a write that fails leaves the table as it was.
     """
-    spark, key_type = rows.sparkSession, rows.schema["key"].dataType.simpleString()
-    known = stored_ordinals(spark, path, key_type)
-    keys, old = rows.groupBy("key").agg(F.min("rank").alias("rank")), known.select(F.col("key").alias("__key"))
-    fresh = keys.join(old, _same_key(keys, old), "left_anti")
-    assign_ordinals(fresh, blocks, known).select("key", "block", "position").write.mode("append").parquet(path)
-    return stored_ordinals(spark, path, key_type)
+    known = stored_ordinals(rows.sparkSession, path, rows.schema["key"].dataType.simpleString())
+    if known is None:
+        placed = assign_ordinals(rows, blocks)
+    else:
+        old = known.select(F.col("key").alias("__key"), "block", "position")
+        joined = rows.join(old, rows["key"].eqNullSafe(old["__key"]), "left").drop("__key")
+        fresh = assign_ordinals(joined.filter("block IS NULL").drop("block", "position"), blocks, known)
+        placed = joined.filter("block IS NOT NULL").withColumn("first", F.lit(None).cast("int")).unionByName(fresh)
+    placed = materialize(placed, "placed")
+    # a new key's row of its first rank stands for it
+    placed.filter(F.col("rank") == F.col("first")).select("key", "block", "position").write.mode("append").parquet(path)
+    return placed.drop("first")
 
 
 def _compare(groups: Sequence[str]):
@@ -205,15 +207,14 @@ def snapshot_changes(
     all_groups = {**groups, rest: [c for c in df.columns if c not in named]}
     order = snapshot_order(df, snapshot, taken_at)
     spark = df.sparkSession
-    path = ordinals or f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/ordinals-{uuid.uuid4().hex}"
+    path = ordinals or f"{run_dir(spark)}/ordinals-{uuid.uuid4().hex}"
     rows = latest_rows(df, key, snapshot, arrived_at, all_groups)
     ranks = F.broadcast(order.select(F.col("snapshot").alias("s"), "rank"))  # one row per snapshot
-    ranked = materialize(rows.join(ranks, F.col("snapshot").eqNullSafe(F.col("s"))).drop("s", "snapshot"), "latest")
-    placed = update_ordinals(ranked.select("key", "rank"), path).withColumnRenamed("key", "__key")
+    placed = place(rows.join(ranks, F.col("snapshot").eqNullSafe(F.col("s"))).drop("s", "snapshot"), path)
     # the count reads only file footers; it sizes tasks, and no ordinal depends on it
-    tasks = max(8, -(-ranked.count() // rows_per_block))
+    tasks = max(8, -(-placed.count() // rows_per_block))
     ordinal = F.shiftleft(F.col("block").cast("long"), 32).bitwiseOR(F.col("position"))
-    known = ranked.join(placed, _same_key(ranked, placed)).withColumn("ordinal", ordinal).drop("__key", "block", "position")
+    known = placed.withColumn("ordinal", ordinal).drop("block", "position")
     task = F.pmod(F.xxhash64(F.shiftright("ordinal", 16)), F.lit(tasks))
     key_type = df.schema[key].dataType.simpleString()
     changes = known.withColumn("task", task).groupBy("task").applyInPandas(_compare(list(all_groups)), f"rank int, key {key_type}, change_type string")
