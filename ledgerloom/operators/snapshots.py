@@ -150,7 +150,7 @@ def place(rows: DataFrame, path: str, blocks: int = BLOCKS) -> DataFrame:
 def _compare(groups: Sequence[str]):
     def one_task(pdf: pd.DataFrame) -> pd.DataFrame:
         ranks = np.sort(pdf["rank"].unique())
-        # vectors are aligned by the ordinals that the task holds, in their order
+        # bitmaps and vectors are over the ordinals that the task holds, in their order: blocks leave gaps
         ordinals, place = np.unique(pdf["ordinal"].to_numpy(), return_inverse=True)
         keys = np.empty(len(ordinals), dtype=object)
         keys[place] = pdf["key"].to_numpy()
@@ -158,7 +158,7 @@ def _compare(groups: Sequence[str]):
         for r in ranks:
             mine = (pdf["rank"] == r).to_numpy()
             part, at = pdf[mine], place[mine]
-            present[r] = bitmaps.compress(ordinals[at])
+            present[r] = bitmaps.compress(at)
             for g in groups:
                 raw = np.frombuffer(b"".join(part[f"d_{g}"]), dtype=np.uint64).reshape(-1, 2)
                 vec = np.zeros((len(ordinals), 2), dtype=np.uint64)
@@ -168,7 +168,7 @@ def _compare(groups: Sequence[str]):
 
         def add(rank: int, found: np.ndarray, kind: str) -> None:
             if len(found):
-                out.append(pd.DataFrame({"rank": rank, "key": keys[np.searchsorted(ordinals, found)], "change_type": kind}))
+                out.append(pd.DataFrame({"rank": rank, "key": keys[found], "change_type": kind}))
 
         empty = bitmaps.compress(np.empty(0, dtype=np.int64))
         for r in sorted({*ranks, *(ranks + 1)}):
@@ -176,9 +176,8 @@ def _compare(groups: Sequence[str]):
             add(r, bitmaps.and_not(new, old), "added")
             add(r, bitmaps.and_not(old, new), "removed")
             both = bitmaps.intersect(new, old)
-            at = np.searchsorted(ordinals, both)
             for g in groups if len(both) else ():
-                a, b = vectors[r, g][at], vectors[r - 1, g][at]
+                a, b = vectors[r, g][both], vectors[r - 1, g][both]
                 add(r, both[(a != b).any(axis=1)], g)
         return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"rank": [], "key": [], "change_type": []})
 
