@@ -250,6 +250,8 @@ CLASSES: tuple[tuple[str, int, str], ...] = (
 )
 _FIRST_CHAIN, _FIRST_LOSSY = len(SCRIPTS), next(i for i, c in enumerate(CLASSES) if c[0] == "dropped")
 _CHAIN_STARTS = np.flatnonzero(np.diff([-1, *(c[1] for c in CLASSES[_FIRST_CHAIN:_FIRST_LOSSY])]))
+#: pairs whose rows of the model are held at once
+PAIRS_AT_ONCE = 1 << 16
 #: log probability in a class that has no words
 NEVER = -30.0
 
@@ -303,8 +305,13 @@ class Model:
 
     def _sums(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         keys, owner = _features(words)
-        starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        return np.add.reduceat(self.weights[keys].astype(np.float32), starts, axis=0), np.bincount(owner)
+        sums = np.zeros((len(words), len(CLASSES)), dtype=np.float32)
+        # a long word has many pairs, so they are added up some at a time
+        for at in range(0, len(keys), PAIRS_AT_ONCE):
+            own = owner[at : at + PAIRS_AT_ONCE]
+            starts = np.flatnonzero(np.diff(own, prepend=-1))
+            sums[own[starts]] += np.add.reduceat(self.weights[keys[at : at + PAIRS_AT_ONCE]].astype(np.float32), starts, axis=0)
+        return sums, np.bincount(owner)
 
     def clean(self, word: str) -> float:
         keys, _ = _features([word])
@@ -448,15 +455,21 @@ def _refilled(word: str, counts: dict[str, int], times: int = 1) -> bool:
         data = to_bytes(word, chain[0][1])
         if data is None:
             continue
-        for at, b in enumerate(data):
-            if b in _LEADS and (at + 1 == len(data) or not 0x80 <= data[at + 1] < 0xC0):
-                for filler in range(0x80, 0xA0):
-                    try:
-                        text = (data[: at + 1] + bytes([filler]) + data[at + 1 :]).decode("utf-8")
-                    except UnicodeDecodeError:
-                        continue
-                    if counts.get(text, 0) > times * counts.get(word, 0):
-                        return True
+        try:
+            data.decode("utf-8")
+            continue
+        except UnicodeDecodeError as e:
+            at = e.start
+        # what stands before the first error is right; the rest must be too but for the lost byte
+        if data[at] not in _LEADS or at + 1 < len(data) and 0x80 <= data[at + 1] < 0xC0:
+            continue
+        try:
+            before, after = data[:at].decode("utf-8"), data[at + 1 :].decode("utf-8")
+        except UnicodeDecodeError:
+            continue
+        for filler in range(0x80, 0xA0):
+            if counts.get(before + bytes([data[at], filler]).decode("utf-8") + after, 0) > times * counts.get(word, 0):
+                return True
     return False
 
 

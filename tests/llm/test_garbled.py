@@ -103,3 +103,15 @@ def test_the_fit_does_not_depend_on_the_size_of_the_corpus(words):
         model = g.train(grown)
         assert all(g.diagnose(w, model) is not None for w in bad)
         assert [w for w in words if g.diagnose(w, model) is not None] == []
+
+
+def test_a_very_long_word(model):
+    import time
+
+    clean, rest = "שלום" * 50_000, "größtenteils" * 20_000
+    began = time.time()
+    assert g.diagnose(clean, model) is None
+    for bad, want in [(g.garble(clean, (("utf-8", "cp1252"),)), clean), (g.garble(rest, (("utf-8", "latin-1"),)), rest), (g.garble(clean, (("cp1255", "cp1251"),)), clean)]:
+        assert g.diagnose(bad, model)[1] == want
+    assert g.diagnose(g.garble(rest, (("utf-8", "cp1252"),)) + "Ã", model) is not None
+    assert time.time() - began < 60
